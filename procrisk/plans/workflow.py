@@ -36,10 +36,9 @@ def check_procurements(df: DataFrame) -> tuple[bool, DataFrame]:
 
 
 def build_featured(spark: SparkSession, folder: str, **limits) -> DataFrame:
-    """Adds the features. Stored by year, so that date ranges prune folders."""
+    """Adds the features to the stored join and stores the result."""
     joined = read_parquet(spark, f"{folder}/procurements.parquet")
     path = f"{folder}/procurements_featured.parquet"
-    # Rows are not shuffled for this: each task writes the years it has.
     return spark.read.parquet(write_parquet(engineer_features(joined, **limits), path))
 
 

@@ -19,6 +19,7 @@ def local_session(cpus: str = "*", partitions: int = 8, **settings: str) -> Spar
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -40,7 +40,10 @@ def write_parquet(
 
 def write_csv(df: DataFrame, path: str) -> str:
     """Stores ``df`` as UTF-8 CSV with a header; quotes are escaped by doubling."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    # The defaults would trim text.
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.csv(path)
     return path
 
 
