@@ -113,6 +113,8 @@ def grow_trees(samples: DataFrame, features: list[str], max_samples: int, seed:
                 continue
             feature = int(random.choice(varying))
             threshold = float(random.uniform(low[feature], high[feature]))
+            if threshold >= high[feature]:  # rounding; the right side must not be empty
+                threshold = float(low[feature])
             goes_left = x[members, feature] <= threshold
             nodes.append((tree, node, feature, threshold, count, count + 1, len(members), depth))
             pending.append((count, depth + 1, members[goes_left]))

@@ -40,9 +40,8 @@ def join_contracts(
     plans = plans.select("plan_id", *fixed.PLAN_COLUMNS)
     planned = skew_join(lots, plans, ["plan_id"], how, hot_rows=hot_rows)
     contracts = contracts.select(*dict.fromkeys(keys + fixed.CONTRACT_COLUMNS))
-    joined = skew_join(
-        contracts.where(F.col(key).isNotNull()), planned, [key], how, hot_rows=hot_rows
-    )
+    contracts = contracts.where(F.col(key).isNotNull())
+    joined = skew_join(contracts, planned, [key], how, right_keys=lots.select(key), hot_rows=hot_rows)
     return joined.select(*fixed.CONTRACT_COLUMNS, *fixed.LOT_COLUMNS, *fixed.PLAN_COLUMNS)
 
 

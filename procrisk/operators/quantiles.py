@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from procrisk.operators.skew import hot_groups, running_total
-from procrisk.session import stage
+from procrisk.session import pin, stage
 
 # Largest group whose distinct values may sit in one aggregation buffer.
 HOT_ROWS = 250_000
@@ -137,7 +137,7 @@ def _points(df: DataFrame, keys: list[str], value: str, count_values: bool) -> D
 
 def _hot(points: DataFrame, keys: list[str], hot_rows: int, max_hot: int) -> DataFrame:
     sizes = points.groupBy(*keys).agg(F.sum(_COUNT).alias(_ROWS))
-    return stage(hot_groups(sizes, keys, _ROWS, hot_rows, max_hot), "hot-groups")
+    return pin(hot_groups(sizes, keys, _ROWS, hot_rows, max_hot))
 
 
 def _of(points: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:

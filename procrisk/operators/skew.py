@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from procrisk.functions.logic import any_of
-from procrisk.session import stage
+from procrisk.session import pin
 
 # Rows of one key that one task may take before the key is spread over several.
 HOT_ROWS = 1_000_000
@@ -23,7 +23,7 @@ NULL_FAN = 4_096
 # Largest group table that is broadcast: a few dozen bytes per row.
 BROADCAST_ROWS = 200_000
 
-_ROWS, _FAN, _SALT, _RIGHT_SALT = "__rows", "__fan", "__salt", "__right_salt"
+_ROWS, _FAN, _SIDE, _SALT, _RIGHT_SALT = "__rows", "__fan", "__side", "__salt", "__right_salt"
 
 
 def running_total(value: str, within: list[str], order: list[str]) -> Column:
@@ -68,6 +68,7 @@ def skew_join(
     how: str = "left",
     *,
     right_unique: bool = False,
+    right_keys: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     max_hot: int = MAX_HOT,
 ) -> DataFrame:
@@ -76,31 +77,40 @@ def skew_join(
     A key with more than ``hot_rows`` left rows gets one salt per ``hot_rows`` of them
     and its right rows are repeated once per salt. Keys with more than ``hot_rows``
     right rows are joined apart, with both sides salted. Rows with a NULL key match
-    nothing and are only spread. ``right_unique`` says that no right key repeats.
+    nothing and are only spread. ``right_unique`` says that no right key repeats;
+    ``right_keys`` is a cheaper table with the same heavy keys as ``right``.
     """
     if how in ("left_semi", "left_anti"):
         right, right_unique = right.select(*on).distinct(), True
-    left_hot = _hot(left, on, hot_rows, max_hot)
-    right_hot = None if right_unique else _hot(right.dropna(subset=on), on, hot_rows, max_hot)
-    if right_hot is not None and not right_hot.isEmpty():
-        keys = F.broadcast(right_hot.select(*on))
-        rest = _salted(
-            left.join(keys, on, "left_anti"),
-            right.dropna(subset=on).join(keys, on, "left_anti"),
-            on, how, left_hot, None,
-        )
-        # These keys have right rows, so an inner join loses no left row.
-        heavy = _salted(left.join(keys, on), right.join(keys, on), on, "inner", left_hot, right_hot)
-        return rest.unionByName(heavy)
-    if left_hot.isEmpty():
+    sides = {0: left} if right_unique else {0: left, 1: (right_keys or right).dropna(subset=on)}
+    hot = _hot(sides, on, hot_rows, max_hot)
+    if hot.isEmpty():
         return left.join(right, on, how)
-    return _salted(left, right.dropna(subset=on), on, how, left_hot, None)
-
-
-def _hot(df: DataFrame, on: list[str], hot_rows: int, max_hot: int) -> DataFrame:
-    sizes = df.groupBy(*on).agg(F.count("*").alias(_ROWS))
-    fan = F.ceil(F.col(_ROWS) / hot_rows).cast("int").alias(_FAN)
-    return stage(hot_groups(sizes, on, _ROWS, hot_rows, max_hot).select(*on, fan), "hot-keys")
+    left_hot, right_hot = (hot.where(F.col(_SIDE) == side).drop(_SIDE) for side in (0, 1))
+    right = right.dropna(subset=on)
+    if right_hot.isEmpty():
+        return _salted(left, right, on, how, left_hot, None)
+    keys = F.broadcast(right_hot.select(*on))
+    rest = _salted(
+        left.join(keys, on, "left_anti"), right.join(keys, on, "left_anti"), on, how, left_hot, None
+    )
+    # These keys have right rows, so an inner join loses no left row.
+    heavy = _salted(left.join(keys, on), right.join(keys, on), on, "inner", left_hot, right_hot)
+    return rest.unionByName(heavy)
+
+
+def _hot(sides: dict[int, DataFrame], on: list[str], hot_rows: int, max_hot: int) -> DataFrame:
+    """Hot keys of every side and the salts each gets, from one job."""
+    found = None
+    for side, df in sides.items():
+        sizes = df.groupBy(*on).agg(F.count("*").alias(_ROWS))
+        heavy = hot_groups(sizes, on, _ROWS, hot_rows, max_hot).select(
+            *on,
+            F.ceil(F.col(_ROWS) / hot_rows).cast("int").alias(_FAN),
+            F.lit(side).alias(_SIDE),
+        )
+        found = heavy if found is None else found.unionByName(heavy)
+    return pin(found)
 
 
 def _salted(

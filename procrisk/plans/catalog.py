@@ -59,11 +59,9 @@ def _lines(text_col: str):
     return F.transform(F.split(F.col(text_col), "\n"), lambda line: F.struct(F.length(line).alias("id")))
 
 
-def _write_documents(df: DataFrame, path: str, key: str) -> None:
-    """Stores ``raw_text``, one document per file, in a folder per key."""
-    df.select(F.col(key).alias("doc"), "raw_text").repartition("doc").write.partitionBy("doc").mode(
-        "append"
-    ).text(path)
+def _write_documents(df: DataFrame, path: str) -> None:
+    """Stores ``raw_text``, one document per file."""
+    df.select("raw_text").write.option("maxRecordsPerFile", 1).mode("append").text(path)
 
 
 # --- sources ---------------------------------------------------------------------
@@ -81,7 +79,7 @@ _SUPPLIER = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def object_scan(spark, folder):
     path = fresh_path(spark, "objects")
-    _write_documents(_supplier_documents(spark, folder), path, "s_suppkey")
+    _write_documents(_supplier_documents(spark, folder), path)
     records, _ = documents.read_objects(spark, path, _struct(spark, _SUPPLIER))
     return records
 
@@ -98,8 +96,10 @@ def page_scan(spark, folder):
         _lines("html").alias("content"), F.lit(1).alias("totalPages"), elements.alias("totalElements")
     )
     path = fresh_path(spark, "pages")
-    _write_documents(pages.withColumn("raw_text", F.to_json(envelope)), path, "page_id")
-    scanned = documents.read_pages(spark, path, number=r"doc=([0-9]+)/")
+    # A folder per page, because the page number is read from the path.
+    texts = pages.select("page_id", F.to_json(envelope).alias("raw_text"))
+    texts.repartition("page_id").write.partitionBy("page_id").text(path)
+    scanned = documents.read_pages(spark, path, number=r"page_id=([0-9]+)/")
     return scanned.select("page", "records", "totalElements")
 
 
@@ -153,7 +153,7 @@ def incremental_landing(spark, folder):
     home = fresh_path(spark, "landing")
     first = F.col("s_nationkey") < 12
     for arrival in (first, ~first):
-        _write_documents(docs.where(arrival), f"{home}/in", "s_suppkey")
+        _write_documents(docs.where(arrival), f"{home}/in")
         landed = land_new_objects(
             spark, f"{home}/in", _struct(spark, _SUPPLIER), f"{home}/bronze", f"{home}/progress"
         )

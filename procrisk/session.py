@@ -59,3 +59,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def pin(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept as literal rows. Only for tables whose size is
+    bounded by a limit, whatever the data."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)

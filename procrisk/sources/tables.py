@@ -12,13 +12,9 @@ BEST_FIRST = ["procurements_final", "procurements_featured", "procurements"]
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether anything is stored under ``path``, on any file system Spark reads."""
-    try:
-        spark.read.format("binaryFile").load(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target)
 
 
 def require_inputs(spark: SparkSession, paths: list[str]) -> None:
