@@ -173,10 +173,10 @@ def _narrow(points: DataFrame, hot: DataFrame, keys: list[str], q: float) -> Dat
         path.append(step)
     ends = wanted.groupBy(*keys).agg(F.min(_VALUE).alias("__low"), F.max(_VALUE).alias("__high"))
     share = place - F.floor(place)
+    between = (1 - share) * F.col("__low") + share * F.col("__high")
+    same = F.col("__low") == F.col("__high")
     return ends.join(F.broadcast(hot), keys).select(
-        *keys,
-        _ROWS,
-        ((1 - share) * F.col("__low") + share * F.col("__high")).alias(_VALUE),
+        *keys, _ROWS, F.when(same, F.col("__low")).otherwise(between).alias(_VALUE)
     )
 
 

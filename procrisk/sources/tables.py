@@ -50,7 +50,8 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV table with a header. Without a schema the types are inferred by a scan."""
+    """CSV table with a header; an empty field is NULL. Without a schema the types are
+    inferred by a scan."""
     require_inputs(spark, [path])
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
