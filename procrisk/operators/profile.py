@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from procrisk.fixed import KEY_FIELDS, PATHS
+from procrisk.functions.logic import all_of
 
 SAMPLE_CHARS = 100
 
@@ -20,63 +21,74 @@ def path_profile(texts: DataFrame, column: str = "raw_text", max_depth: int = 3)
     """Per path and type: documents, list lengths and a sample value.
 
     Lists are followed into their first item. Below ``max_depth`` only the type is
-    given and the row is marked truncated. Each level is one pass over the documents,
-    and all counts are partial aggregates per path.
+    given and the row is marked truncated. One pass: each document is exploded level by
+    level into its leaves, and a node is counted in the row of its first leaf.
     """
     spark = texts.sparkSession
-    level = texts.select(F.lit("$").alias("path"), F.try_parse_json(F.col(column)).alias("node"))
-    level = level.where(F.col("node").isNotNull())
-    result = None
-    for depth in range(max_depth + 2):
-        truncated = depth > max_depth
-        part = _describe(level, truncated)
-        result = part if result is None else result.unionByName(part)
-        if truncated:
-            break
-        child = spark.tvf.variant_explode(F.col("node").outer()).toDF("pos", "key", "value")
-        step = F.when(F.col("key").isNotNull(), F.concat(F.lit("."), F.col("key"))).otherwise("[0]")
-        level = (
-            level.lateralJoin(child)
-            .where(F.col("key").isNotNull() | (F.col("pos") == 0))
-            .select(F.concat("path", step).alias("path"), F.col("value").alias("node"))
+    rows = texts.select(F.try_parse_json(F.col(column)).alias("__node0"), F.lit("$").alias("__path0"))
+    rows = _described(rows.where(F.col("__node0").isNotNull()), 0, False)
+    levels = range(max_depth + 2)
+    for depth in levels[1:]:
+        above, pos, key, node = f"__node{depth - 1}", f"__pos{depth}", "__key", f"__node{depth}"
+        child = spark.tvf.variant_explode_outer(F.col(above).outer()).toDF(pos, key, node)
+        step = F.when(F.col(key).isNotNull(), F.concat(F.lit("."), F.col(key))).otherwise("[0]")
+        path = F.when(F.col(pos).isNotNull(), F.concat(F.col(f"__path{depth - 1}"), step))
+        rows = (
+            rows.lateralJoin(child)
+            .where(F.col(key).isNotNull() | (F.coalesce(pos, F.lit(0)) == 0))
+            .withColumn(f"__path{depth}", path)
+            .drop(above, key)
         )
-    return result
-
-
-def _describe(level: DataFrame, truncated: bool) -> DataFrame:
-    kind = _kind(F.schema_of_variant("node"))
-    scalar = ~kind.isin("dict", "list")
-    length = F.when(
-        kind == "list", F.size(F.try_variant_get("node", "$", "array<variant>"))
-    )
-    sample = F.when(scalar, F.substring(F.try_variant_get("node", "$", "string"), 1, SAMPLE_CHARS))
-    nothing = F.lit(None)
-    rows = level.select(
-        "path",
-        kind.alias("type"),
-        (nothing.cast("int") if truncated else length).alias("length"),
-        (nothing.cast("string") if truncated else sample).alias("sample"),
-    )
-    return rows.groupBy("path", "type").agg(
+        rows = _described(rows, depth, depth > max_depth)
+    found = []
+    for depth in levels:
+        exists = F.col(f"__path{depth}").isNotNull()
+        first_leaf = [F.coalesce(F.col(f"__pos{d}"), F.lit(0)) == 0 for d in levels if d > depth]
+        node = F.struct(
+            F.col(f"__path{depth}").alias("path"),
+            F.col(f"__type{depth}").alias("type"),
+            F.lit(depth > max_depth).alias("truncated"),
+            F.col(f"__length{depth}").alias("length"),
+            F.col(f"__sample{depth}").alias("sample"),
+        )
+        found.append(F.when(all_of([exists, *first_leaf]), node))
+    nodes = rows.select(F.inline(F.array_compact(F.array(*found))))
+    counted = nodes.groupBy("path", "type", "truncated").agg(
         F.count("*").alias("documents"),
         F.min("length").alias("min_length"),
         F.max("length").alias("max_length"),
         F.min("sample").alias("sample"),
-        F.lit(truncated).alias("truncated"),
     )
+    # Numbers of different precision are one type; merged on the few counted rows.
+    return counted.groupBy("path", _kind(F.col("type")).alias("type"), "truncated").agg(
+        F.sum("documents").alias("documents"),
+        F.min("min_length").alias("min_length"),
+        F.max("max_length").alias("max_length"),
+        F.min("sample").alias("sample"),
+    )
+
 
+def _described(rows: DataFrame, depth: int, truncated: bool) -> DataFrame:
+    """Type of the node at ``depth``; above the cut also list length and sample."""
+    node, kind = F.col(f"__node{depth}"), f"__type{depth}"
+    rows = rows.withColumn(kind, F.substring_index(F.schema_of_variant(node), "<", 1))
+    length, sample = F.lit(None).cast("int"), F.lit(None).cast("string")
+    if not truncated:
+        items = F.try_variant_get(node, "$", "array<variant>")
+        length = F.when(F.col(kind) == "ARRAY", F.size(items))
+        text = F.substring(F.try_variant_get(node, "$", "string"), 1, SAMPLE_CHARS)
+        sample = F.when(~F.col(kind).isin("OBJECT", "ARRAY"), text)
+    return rows.withColumns({f"__length{depth}": length, f"__sample{depth}": sample})
 
-def _kind(schema: Column) -> Column:
+
+def _kind(raw: Column) -> Column:
     # Type names of the profile.
-    return (
-        F.when(schema.startswith("OBJECT"), "dict")
-        .when(schema.startswith("ARRAY"), "list")
-        .when(schema == "STRING", "str")
-        .when(schema == "BIGINT", "int")
-        .when(schema == "BOOLEAN", "bool")
-        .when(schema == "VOID", "NoneType")
-        .otherwise("float")
-    )
+    names = {
+        "OBJECT": "dict", "ARRAY": "list", "STRING": "str", "BIGINT": "int", "BOOLEAN": "bool",
+        "VOID": "NoneType",
+    }
+    pairs = [F.lit(part) for pair in names.items() for part in pair]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), raw), F.lit("float"))
 
 
 def sample_profile(

@@ -554,7 +554,7 @@ def fallback_key_join(spark, folder):
     )
 )
 def join_statistics(spark, folder):
-    return quality.join_statistics(testviews.joined(spark, folder))
+    return quality.join_statistics(testviews.fact(spark, folder))
 
 
 _QUALITY = """SELECT count(*) AS records, count(*) FILTER (lot_id IS NULL) AS null_lot_ids,
@@ -569,7 +569,7 @@ FROM joined"""
 
 @query(oracle.over(oracle.JOINED, _QUALITY))
 def data_quality(spark, folder):
-    return quality.data_quality(testviews.joined(spark, folder))
+    return quality.data_quality(testviews.fact(spark, folder))
 
 
 @query(
@@ -586,7 +586,7 @@ def data_quality(spark, folder):
     )
 )
 def quality_rules(spark, folder):
-    return quality.quality_rules(quality.data_quality(testviews.joined(spark, folder)))
+    return quality.quality_rules(quality.data_quality(testviews.fact(spark, folder)))
 
 
 _PARTY = """count(*) AS total_contracts,
@@ -604,7 +604,7 @@ _PARTY = """count(*) AS total_contracts,
     )
 )
 def customer_view(spark, folder):
-    return quality.customer_view(testviews.joined(spark, folder))
+    return quality.customer_view(testviews.fact(spark, folder))
 
 
 @query(
@@ -616,7 +616,7 @@ def customer_view(spark, folder):
     )
 )
 def provider_view(spark, folder):
-    quality.create_views(testviews.joined(spark, folder))
+    quality.create_views(testviews.fact(spark, folder))
     return spark.table("provider_analysis")
 
 
@@ -642,7 +642,7 @@ def calendar_features(spark, folder):
     )
 )
 def processing_days(spark, folder):
-    joined = testviews.joined(spark, folder)
+    joined = testviews.fact(spark, folder)
     return features.with_processing_days(joined).select("lot_id", "processing_days")
 
 
@@ -673,7 +673,7 @@ def price_flag(spark, folder):
     )
 )
 def single_source(spark, folder):
-    joined = testviews.joined(spark, folder)
+    joined = testviews.fact(spark, folder)
     return features.with_single_flag(joined).select("lot_id", "single_flag")
 
 
@@ -728,7 +728,7 @@ def sliding_splitting(spark, folder):
     )
 )
 def underpayment(spark, folder):
-    joined = testviews.joined(spark, folder)
+    joined = testviews.fact(spark, folder)
     return features.with_underpaid_flag(joined).select("lot_id", "underpaid_flag")
 
 

@@ -14,7 +14,7 @@ from procrisk.session import stage
 # Split limits that fit these amounts and dates.
 SPLIT = {"split_limit": 250_000, "split_days": 365}
 
-_featured: dict[tuple[str, str], DataFrame] = {}
+_stored: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -83,9 +83,19 @@ def build_featured(spark: SparkSession, folder: str) -> DataFrame:
     return with_category(engineer_features(stage(joined(spark, folder), "joined"), **SPLIT))
 
 
+def stored(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
+    """A table built and stored once per session, as reports read stored tables."""
+    at = (spark.sparkContext.applicationId, folder, name)
+    if at not in _stored:
+        _stored[at] = stage(build(spark, folder), name)
+    return _stored[at]
+
+
+def fact(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored join."""
+    return stored(spark, folder, "joined", joined)
+
+
 def featured(spark: SparkSession, folder: str) -> DataFrame:
-    """The featured table, stored once per session: the reports read a stored table."""
-    at = (spark.sparkContext.applicationId, folder)
-    if at not in _featured:
-        _featured[at] = stage(build_featured(spark, folder), "featured")
-    return _featured[at]
+    """The stored featured table."""
+    return stored(spark, folder, "featured", build_featured)
