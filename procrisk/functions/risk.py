@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from procrisk import fixed
 from procrisk.functions.logic import any_of
+from procrisk.functions.time import DAY, micros_between, start_of_slice
 
 
 def flag(condition: Column) -> Column:
@@ -86,5 +87,5 @@ def composite_key(lot_number: str | None, customer: str, amount: str) -> Column:
 
 def whole_days(start: str, end: str) -> Column:
     """Whole days from start to end, rounded down; NULL when either is NULL."""
-    micros = F.timestamp_diff("MICROSECOND", F.col(start), F.col(end))
-    return F.floor(micros / F.lit(86_400_000_000)).cast("int")
+    micros = micros_between(F.col(start), F.col(end))
+    return F.round(start_of_slice(micros, DAY) / DAY).cast("int")

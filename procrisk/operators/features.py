@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from procrisk import fixed
 from procrisk.functions import risk
 from procrisk.functions.logic import all_of
+from procrisk.functions.time import DAY, micros_between, micros_of, start_of_slice
 from procrisk.operators.quantiles import group_median_mad
 from procrisk.operators.skew import attach, skew_join
 from procrisk.session import stage
@@ -148,7 +149,7 @@ def split_groups(
     days: float = fixed.SPLIT_DAYS,
 ) -> DataFrame:
     """(customer, title) groups whose small contracts all start within ``days``."""
-    span = F.timestamp_diff("MICROSECOND", F.col("__first"), F.col("__last"))
+    span = micros_between(F.col("__first"), F.col("__last"))
     groups = (
         _small(df, customer, title, amount, limit)
         .groupBy(customer, title)
@@ -157,7 +158,7 @@ def split_groups(
             F.min(date).alias("__first"),
             F.max(date).alias("__last"),
         )
-        .where((F.col("__dated") >= min_rows) & (span <= int(days * _DAY)))
+        .where((F.col("__dated") >= min_rows) & (span <= int(days * DAY)))
     )
     return stage(groups.select(customer, title), "split-groups")
 
@@ -204,12 +205,12 @@ def sliding_split_slices(
     in order are at most ``2 * (min_rows - 1)`` per slice, however many contracts a
     customer has. Returns group, slice, ``__full`` and the flagged moments of the rest.
     """
-    keys, width, edge = [customer, title], int(days * _DAY), min_rows - 1
+    keys, width, edge = [customer, title], int(days * DAY), min_rows - 1
     moments = (
         _small(df, customer, title, amount, limit)
         .where(F.col(date).isNotNull())
-        .select(*keys, _micros(date).alias("__at"))
-        .withColumn("__slice", F.floor(F.col("__at") / width))
+        .select(*keys, micros_of(F.col(date)).alias("__at"))
+        .withColumn("__slice", start_of_slice(F.col("__at"), width))
     )
     slices = moments.groupBy(*keys, "__slice").agg(F.count("*").alias("__n"))
     full = slices.where(F.col("__n") >= min_rows).select(
@@ -268,9 +269,9 @@ def with_sliding_split_flag(
     slices = sliding_split_slices(
         df, customer, title, amount, date, limit=limit, min_rows=min_rows, days=days
     )
-    width = int(days * _DAY)
-    sliced = df.withColumn("__slice", F.floor(_micros(date) / width))
-    hit = F.col("__full") | F.array_contains("__moments", _micros(date))
+    width = int(days * DAY)
+    sliced = df.withColumn("__slice", start_of_slice(micros_of(F.col(date)), width))
+    hit = F.col("__full") | F.array_contains("__moments", micros_of(F.col(date)))
     return (
         attach(sliced, slices, [customer, title, "__slice"], **options)
         .withColumn(out, risk.flag((F.col(amount) <= limit) & hit))
@@ -301,8 +302,12 @@ def with_composite_key(
     return df.withColumn("composite_key", F.coalesce(key, F.lit("")))
 
 
-def engineer_features(df: DataFrame, *, split_limit: float = fixed.SMALL_CONTRACT,
-                      split_days: float = fixed.SPLIT_DAYS) -> DataFrame:
+def engineer_features(
+    df: DataFrame,
+    *,
+    split_limit: float = fixed.SMALL_CONTRACT,
+    split_days: float = fixed.SPLIT_DAYS,
+) -> DataFrame:
     """All features of the joined table, in the order of the featured table.
 
     Pass a stored table: it is read once per statistics table and once for the rows.
@@ -357,13 +362,6 @@ def score_statistics(df: DataFrame, scores: tuple[str, ...] = ("price_z", "risk_
     return df.agg(F.array(*parts).alias("__rows")).select(F.inline("__rows"))
 
 
-_DAY = 86_400_000_000
-
-
-def _micros(date: str) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(date))
-
-
 def _small(df: DataFrame, customer: str, title: str, amount: str, limit: float) -> DataFrame:
     return df.where(
         all_of([F.col(amount) <= limit, F.col(customer).isNotNull(), F.col(title).isNotNull()])
