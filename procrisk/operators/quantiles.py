@@ -54,7 +54,7 @@ def group_quantile(
             F.sum(_COUNT).alias("n"), F.percentile(_VALUE, q, F.col(_COUNT)).alias(name)
         )
 
-    if hot.isEmpty():
+    if hot is None:
         return direct(points)
     large = _of(points, hot, keys)
     if count_values:
@@ -93,7 +93,7 @@ def group_median_mad(
             )
         )
 
-    if hot.isEmpty():
+    if hot is None:
         return direct(points)
     large = stage(_of(points, hot, keys), "hot-values")
     centre = stage(
@@ -135,7 +135,7 @@ def _points(df: DataFrame, keys: list[str], value: str, count_values: bool) -> D
     return rows.withColumn(_COUNT, F.lit(1).cast("long"))
 
 
-def _hot(points: DataFrame, keys: list[str], hot_rows: int, max_hot: int) -> DataFrame:
+def _hot(points: DataFrame, keys: list[str], hot_rows: int, max_hot: int) -> DataFrame | None:
     sizes = points.groupBy(*keys).agg(F.sum(_COUNT).alias(_ROWS))
     return pin(hot_groups(sizes, keys, _ROWS, hot_rows, max_hot))
 

@@ -84,7 +84,7 @@ def skew_join(
         right, right_unique = right.select(*on).distinct(), True
     sides = {0: left} if right_unique else {0: left, 1: (right_keys or right).dropna(subset=on)}
     hot = _hot(sides, on, hot_rows, max_hot)
-    if hot.isEmpty():
+    if hot is None:
         return left.join(right, on, how)
     left_hot, right_hot = (hot.where(F.col(_SIDE) == side).drop(_SIDE) for side in (0, 1))
     right = right.dropna(subset=on)
@@ -99,7 +99,7 @@ def skew_join(
     return rest.unionByName(heavy)
 
 
-def _hot(sides: dict[int, DataFrame], on: list[str], hot_rows: int, max_hot: int) -> DataFrame:
+def _hot(sides: dict[int, DataFrame], on: list[str], hot_rows: int, max_hot: int) -> DataFrame | None:
     """Hot keys of every side and the salts each gets, from one job."""
     found = None
     for side, df in sides.items():
