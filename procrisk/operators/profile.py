@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from procrisk.fixed import KEY_FIELDS, PATHS
-from procrisk.functions.logic import all_of
 
 SAMPLE_CHARS = 100
 
@@ -25,34 +24,37 @@ def path_profile(texts: DataFrame, column: str = "raw_text", max_depth: int = 3)
     level into its leaves, and a node is counted in the row of its first leaf.
     """
     spark = texts.sparkSession
-    rows = texts.select(F.try_parse_json(F.col(column)).alias("__node0"), F.lit("$").alias("__path0"))
-    rows = _described(rows.where(F.col("__node0").isNotNull()), 0, False)
+    rows = texts.select(F.lit("$").alias("__path0"), F.try_parse_json(F.col(column)).alias("__node0"))
+    rows = rows.where(F.col("__node0").isNotNull())
     levels = range(max_depth + 2)
     for depth in levels[1:]:
-        above, pos, key, node = f"__node{depth - 1}", f"__pos{depth}", "__key", f"__node{depth}"
-        child = spark.tvf.variant_explode_outer(F.col(above).outer()).toDF(pos, key, node)
-        step = F.when(F.col(key).isNotNull(), F.concat(F.lit("."), F.col(key))).otherwise("[0]")
-        path = F.when(F.col(pos).isNotNull(), F.concat(F.col(f"__path{depth - 1}"), step))
+        child = spark.tvf.variant_explode_outer(F.col(f"__node{depth - 1}").outer()).toDF(
+            "__pos", "__key", f"__node{depth}"
+        )
+        is_first = F.coalesce("__pos", F.lit(0)) == 0
+        step = F.when(F.col("__key").isNotNull(), F.concat(F.lit("."), F.col("__key"))).otherwise("[0]")
+        path = F.when(F.col("__pos").isNotNull(), F.concat(F.col(f"__path{depth - 1}"), step))
+        # A node above travels on with its first child only: it is counted once, and
+        # large documents are not copied to each of their leaves.
+        above = {n: F.when(is_first, F.col(n)) for n in (f"__node{d}" for d in range(depth))}
         rows = (
             rows.lateralJoin(child)
-            .where(F.col(key).isNotNull() | (F.coalesce(pos, F.lit(0)) == 0))
-            .withColumn(f"__path{depth}", path)
-            .drop(above, key)
+            .where(F.col("__key").isNotNull() | is_first)
+            .withColumns({**above, f"__path{depth}": path})
+            .drop("__pos", "__key")
         )
-        rows = _described(rows, depth, depth > max_depth)
-    found = []
-    for depth in levels:
-        exists = F.col(f"__path{depth}").isNotNull()
-        first_leaf = [F.coalesce(F.col(f"__pos{d}"), F.lit(0)) == 0 for d in levels if d > depth]
-        node = F.struct(
-            F.col(f"__path{depth}").alias("path"),
-            F.col(f"__type{depth}").alias("type"),
-            F.lit(depth > max_depth).alias("truncated"),
-            F.col(f"__length{depth}").alias("length"),
-            F.col(f"__sample{depth}").alias("sample"),
+    found = [
+        F.when(
+            F.col(f"__path{d}").isNotNull() & F.col(f"__node{d}").isNotNull(),
+            F.struct(
+                F.col(f"__path{d}").alias("path"),
+                F.col(f"__node{d}").alias("node"),
+                F.lit(d > max_depth).alias("truncated"),
+            ),
         )
-        found.append(F.when(all_of([exists, *first_leaf]), node))
-    nodes = rows.select(F.inline(F.array_compact(F.array(*found))))
+        for d in levels
+    ]
+    nodes = _described(rows.select(F.inline(F.array_compact(F.array(*found)))))
     counted = nodes.groupBy("path", "type", "truncated").agg(
         F.count("*").alias("documents"),
         F.min("length").alias("min_length"),
@@ -68,17 +70,20 @@ def path_profile(texts: DataFrame, column: str = "raw_text", max_depth: int = 3)
     )
 
 
-def _described(rows: DataFrame, depth: int, truncated: bool) -> DataFrame:
-    """Type of the node at ``depth``; above the cut also list length and sample."""
-    node, kind = F.col(f"__node{depth}"), f"__type{depth}"
-    rows = rows.withColumn(kind, F.substring_index(F.schema_of_variant(node), "<", 1))
-    length, sample = F.lit(None).cast("int"), F.lit(None).cast("string")
-    if not truncated:
-        items = F.try_variant_get(node, "$", "array<variant>")
-        length = F.when(F.col(kind) == "ARRAY", F.size(items))
-        text = F.substring(F.try_variant_get(node, "$", "string"), 1, SAMPLE_CHARS)
-        sample = F.when(~F.col(kind).isin("OBJECT", "ARRAY"), text)
-    return rows.withColumns({f"__length{depth}": length, f"__sample{depth}": sample})
+def _described(nodes: DataFrame) -> DataFrame:
+    """Type of every node; above the cut also list length and sample."""
+    node = F.col("node")
+    nodes = nodes.withColumn("type", F.substring_index(F.schema_of_variant(node), "<", 1))
+    items = F.size(F.try_variant_get(node, "$", "array<variant>"))
+    text = F.substring(node.try_cast("string"), 1, SAMPLE_CHARS)
+    shown = ~F.col("truncated")
+    return nodes.select(
+        "path",
+        "type",
+        "truncated",
+        F.when(shown & (F.col("type") == "ARRAY"), items).alias("length"),
+        F.when(shown & ~F.col("type").isin("OBJECT", "ARRAY"), text).alias("sample"),
+    )
 
 
 def _kind(raw: Column) -> Column:

@@ -6,6 +6,9 @@ choose the plan by them, so an evenly spread table gets a plain join.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,8 +23,8 @@ HOT_ROWS = 1_000_000
 MAX_HOT = 10_000
 # Tasks over which rows with a NULL key are spread: they match nothing.
 NULL_FAN = 4_096
-# Largest group table that is broadcast: a few dozen bytes per row.
-BROADCAST_ROWS = 200_000
+# Largest group table that is broadcast, by the measured size of its values.
+BROADCAST_BYTES = 32 << 20
 
 _ROWS, _FAN, _SIDE, _SALT, _RIGHT_SALT = "__rows", "__fan", "__side", "__salt", "__right_salt"
 
@@ -48,19 +51,34 @@ def attach(
     groups: DataFrame,
     on: list[str],
     *,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``df`` left-joined with ``groups``, a staged table with one row per key.
 
-    Up to ``broadcast_rows`` groups are broadcast and ``df`` is not shuffled at all;
-    more go through ``skew_join``.
+    Groups of up to ``broadcast_bytes`` are broadcast and ``df`` is not shuffled at
+    all; more go through ``skew_join``.
     """
-    if groups.count() <= broadcast_rows:
+    if size_of(groups) <= broadcast_bytes:
         return df.join(F.broadcast(groups), on, "left")
     return skew_join(df, groups, on, "left", right_unique=True, hot_rows=hot_rows)
 
 
+def size_of(df: DataFrame) -> int:
+    """Bytes of the values of a stored table, from one scan."""
+    widths = [_width(field) for field in df.schema]
+    return df.agg(F.sum(reduce(add, widths))).first()[0] or 0
+
+
+def _width(field: T.StructField) -> Column:
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(field.dataType, T.ArrayType):
+        return F.coalesce(F.size(value), F.lit(0)) * 8 + 16
+    return F.lit(8)
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,

@@ -60,7 +60,7 @@ def test_attach_both_ways(spark, sides):
     left, _ = sides
     groups = stage(left.groupBy("k").agg(F.count("*").alias("n")).dropna(), "groups")
     small = attach(left, groups, ["k"])
-    large = attach(left, groups, ["k"], broadcast_rows=0, hot_rows=20)
+    large = attach(left, groups, ["k"], broadcast_bytes=-1, hot_rows=20)
     assert rows_of(small) == rows_of(large)
     assert small.count() == left.count()
 
