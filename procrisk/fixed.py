@@ -87,12 +87,11 @@ RISK_WEIGHTS = {
 }
 RISK_FLAGS = list(RISK_WEIGHTS)
 
-# Risk categories and their limits, colours of rows and lights.
+# Risk categories, their limits and row styles.
 CATEGORIES = ["Low", "Medium", "High"]
 MEDIUM_FROM = 1.0
 HIGH_FROM = 3.0
 ROW_COLOURS = {"High": "background-color: #ffebee", "Medium": "background-color: #fff8e1"}
-CATEGORY_COLOURS = {"Low": "#28a745", "Medium": "#ffc107", "High": "#dc3545"}
 
 # Anomaly model.
 MODEL_FEATURES = [

@@ -72,7 +72,7 @@ def normalise_entity(
 
     The rows are counted while they are written. Without rows ``file`` is None.
     """
-    records, _ = read_objects(spark, raw, raw_schema(entity, corrupt=False), whole_files)
+    records, _ = read_objects(spark, raw, raw_schema(entity), whole_files)
     table = normalise(records, entity)
     counted = Observation(f"rows of {entity}")
     observed = table.observe(counted, F.count(F.lit(1)).alias("records"))

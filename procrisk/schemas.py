@@ -6,21 +6,15 @@ from pyspark.sql import types as T
 
 from procrisk.fixed import PATHS
 
-CORRUPT = "_corrupt_record"
-
-_TYPED = {
-    "plan_method_id": "int",
-    "lot_method_id": "int",
-    "order_method_id": "int",
-}
+METHOD_IDS = ("plan_method_id", "lot_method_id", "order_method_id")
 
 
 def flat_type(column: str) -> str:
     """Type of a flat column, by the naming rules of the data model."""
     name = column.lower()
     textual = any(word in name for word in ("name", "title", "description", "platform"))
-    if column in _TYPED:
-        return _TYPED[column]
+    if name in METHOD_IDS:
+        return "int"
     if "date" in name:
         return "timestamp_ntz"
     if any(word in name for word in ("price", "amount", "_sum")) and not textual:
@@ -38,7 +32,7 @@ def flat_schema(entity: str) -> T.StructType:
     )
 
 
-def raw_schema(entity: str, corrupt: bool = True) -> T.StructType:
+def raw_schema(entity: str) -> T.StructType:
     """Nested read schema of an entity: every leaf as text, so that typing is one
     explicit step and a badly typed value never rejects its record."""
     tree: dict = {}
@@ -48,8 +42,7 @@ def raw_schema(entity: str, corrupt: bool = True) -> T.StructType:
         for parent in parents:
             node = node.setdefault(parent, {})
         node[leaf] = None
-    schema = _struct(tree)
-    return schema.add(CORRUPT, T.StringType()) if corrupt else schema
+    return _struct(tree)
 
 
 def _struct(tree: dict) -> T.StructType:
@@ -61,14 +54,13 @@ def _struct(tree: dict) -> T.StructType:
     )
 
 
-def page_schema(record: T.DataType | None = None, corrupt: bool = True) -> T.StructType:
+def page_schema(record: T.DataType | None = None) -> T.StructType:
     """Envelope of a list page; ``record`` is the type of one content element."""
     record = record or T.StructType([T.StructField("id", T.StringType())])
-    schema = T.StructType(
+    return T.StructType(
         [
             T.StructField("content", T.ArrayType(record)),
             T.StructField("totalPages", T.IntegerType()),
             T.StructField("totalElements", T.LongType()),
         ]
     )
-    return schema.add(CORRUPT, T.StringType()) if corrupt else schema

@@ -63,7 +63,7 @@ def read_pages(
     ``number`` finds the page number in the file path. Columns: ``page``, ``content``,
     ``totalPages``, ``totalElements`` and ``records``, the length of the content.
     """
-    schema = page_schema(record, corrupt=False)
+    schema = page_schema(record)
     parsed = parse(read_texts(spark, path), schema)
     return (
         parsed.where(F.col("records").isNotNull())

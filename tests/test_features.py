@@ -139,10 +139,7 @@ def test_score_and_categories(spark):
     flags = spark.createDataFrame([(1, 1, 1, 1, 1), (0, 0, 0, 0, 0), (None, 1, None, 1, 0)], ", ".join(f"{f} int" for f in fixed.RISK_FLAGS))
     assert [r["risk_score"] for r in fe.with_risk_score(flags).collect()] == [7.0, 0.0, 2.5]
     scores = spark.createDataFrame([(1.0,), (1.5,), (3.0,), (3.5,), (0.0,), (None,)], "s double")
-    shown = scores.select(
-        risk.category("s").alias("c"), risk.traffic_light("s").alias("t"),
-        risk.category_rank("c").alias("r") if False else F.lit(0).alias("r"),
-    ).collect()
+    shown = scores.select(risk.category("s").alias("c"), risk.traffic_light("s").alias("t")).collect()
     assert [r["c"] for r in shown] == ["Low", "Medium", "Medium", "High", "Low", None]
     assert [r["t"] for r in shown][:5] == ["yellow", "yellow", "red", "red", "green"]
     ranked = scores.select(risk.category("s").alias("c")).select(risk.category_rank("c").alias("r"))

@@ -4,7 +4,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from procrisk.fixed import PATHS
 from procrisk.operators import ingest, joins, normalise, profile, quality, reports
@@ -30,14 +29,14 @@ def test_broken_file_is_reported_not_fatal(spark, tmp_path):
     put(tmp_path, "1.json", CONTRACT)
     put(tmp_path, "2.json", '{"externalId": "8", ')
     put(tmp_path, "3.json", {**CONTRACT, "externalId": "9"})
-    good, bad = documents.read_objects(spark, str(tmp_path), raw_schema("OrderDetail", corrupt=False))
+    good, bad = documents.read_objects(spark, str(tmp_path), raw_schema("OrderDetail"))
     assert sorted(r["externalId"] for r in good.collect()) == ["007", "9"]
     assert [r["source_file"].rsplit("/")[-1] for r in bad.collect()] == ["2.json"]
     assert bad.count() == 1
 
 
 def test_absent_folder_is_empty(spark, tmp_path):
-    good, bad = documents.read_objects(spark, str(tmp_path / "no"), raw_schema("Plan", corrupt=False))
+    good, bad = documents.read_objects(spark, str(tmp_path / "no"), raw_schema("Plan"))
     assert good.isEmpty() and bad.isEmpty()
 
 
@@ -117,6 +116,12 @@ def test_parquet_is_zstd(spark, tmp_path):
     assert meta.row_group(0).column(0).compression == "ZSTD"
 
 
+def test_stored_size(spark, tmp_path):
+    path = tables.write_csv(spark.range(10).coalesce(1), f"{tmp_path}/t.csv")
+    row = quality.stored_size(spark, path).first()
+    assert row["files"] == 1 and row["bytes"] == len("id\n" + "\n".join(map(str, range(10))) + "\n")
+
+
 def test_absent_inputs_are_all_named(spark, tmp_path):
     tables.write_parquet(spark.range(1), f"{tmp_path}/Plan.parquet")
     with pytest.raises(FileNotFoundError) as error:
@@ -137,7 +142,7 @@ def test_best_available(spark, tmp_path):
 
 
 def test_landing_takes_each_file_once(spark, tmp_path):
-    schema = raw_schema("OrderDetail", corrupt=False)
+    schema = raw_schema("OrderDetail")
     where = [str(tmp_path / p) for p in ("in", "out", "progress")]
     change = lambda df: normalise.normalise(df, "OrderDetail")
     put(tmp_path / "in", "1.json", CONTRACT)
