@@ -195,43 +195,54 @@ def sliding_split_slices(
     limit: float = fixed.SMALL_CONTRACT,
     min_rows: int = fixed.SPLIT_MIN_ROWS,
     days: float = fixed.SPLIT_DAYS,
+    **options,
 ) -> DataFrame:
     """Where some ``min_rows`` small contracts start within any ``days``.
 
-    Time is cut into slices as long as the window. A slice with ``min_rows`` contracts
-    is flagged as a whole (``__full``). The other slices have fewer, and to judge them
-    it is enough to know, of each slice, the ``min_rows - 1`` earliest and latest
-    contracts: a window across a slice border reaches no further. So the rows compared
+    Time is cut into slices as long as the window, and counted per slice. A slice with
+    ``min_rows`` contracts is flagged as a whole (``__full``). Another is judged only if
+    it and its two neighbours have ``min_rows`` together, and then it is enough to know
+    the ``min_rows - 1`` latest contracts of the slice before and the earliest of the
+    one after, because a window over a border reaches no further. So the rows compared
     in order are at most ``2 * (min_rows - 1)`` per slice, however many contracts a
     customer has. Returns group, slice, ``__full`` and the flagged moments of the rest.
     """
     keys, width, edge = [customer, title], int(days * DAY), min_rows - 1
+    slice_keys = [*keys, "__slice"]
     moments = (
         _small(df, customer, title, amount, limit)
         .where(F.col(date).isNotNull())
         .select(*keys, micros_of(F.col(date)).alias("__at"))
         .withColumn("__slice", start_of_slice(F.col("__at"), width))
     )
-    slices = moments.groupBy(*keys, "__slice").agg(F.count("*").alias("__n"))
+    slices = moments.groupBy(*slice_keys).agg(F.count("*").alias("__n"))
+    slices = stage(_slices_to_judge(slices, keys, width, min_rows), "slice-counts")
     full = slices.where(F.col("__n") >= min_rows).select(
-        *keys, "__slice", F.lit(True).alias("__full"), F.lit(None).cast("array<bigint>").alias("__moments")
+        *slice_keys, F.lit(True).alias("__full"), F.lit(None).cast("array<bigint>").alias("__moments")
     )
     if edge < 1:
         return stage(full, "split-slices")
-    in_slice = Window.partitionBy(*keys, "__slice")
+    needed = slices.where("__needed").select(*slice_keys, "__n")
+    near = attach(moments, needed, slice_keys, "inner", **options)
+    sparse = near.where(F.col("__n") < min_rows).withColumn("__end", F.lit(0))
+    crowded = near.where(F.col("__n") >= min_rows)
     # Spark cuts both rankings to their first rows before the shuffle.
-    first = moments.withColumn("__rank", F.row_number().over(in_slice.orderBy(F.col("__at"))))
-    last = moments.withColumn("__rank", F.row_number().over(in_slice.orderBy(F.col("__at").desc())))
-    first = first.where(F.col("__rank") <= edge).withColumn("__end", F.lit(0))
-    last = last.where(F.col("__rank") <= edge).withColumn("__end", F.lit(1))
-    # A slice with fewer than min_rows contracts appears whole in both: keep one copy.
+    in_slice = Window.partitionBy(*slice_keys)
+    first, last = (
+        crowded.withColumn("__rank", F.row_number().over(in_slice.orderBy(order)))
+        .where(F.col("__rank") <= edge)
+        .drop("__rank")
+        .withColumn("__end", F.lit(end))
+        for end, order in ((1, F.col("__at").asc()), (2, F.col("__at").desc()))
+    )
+    # A contract may be among the first and the last of its slice: keep one copy.
+    copies = [F.count_if(F.col("__end") == end) for end in (0, 1, 2)]
     edges = (
-        first.unionByName(last)
-        .groupBy(*keys, "__slice", "__at")
-        .agg(
-            F.greatest(F.count_if(F.col("__end") == 0), F.count_if(F.col("__end") == 1)).alias("__n")
-        )
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
+        sparse.unionByName(first)
+        .unionByName(last)
+        .groupBy(*slice_keys, "__at")
+        .agg(F.greatest(*copies).alias("__copies"), (copies[0] > 0).alias("__sparse"))
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
     )
     in_order = Window.partitionBy(*keys).orderBy("__at", "__copy")
     spans = [
@@ -243,11 +254,10 @@ def sliding_split_slices(
         close = close | F.coalesce(span <= width, F.lit(False))
     flagged = (
         edges.withColumn("__close", close)
-        .where("__close")
-        .groupBy(*keys, "__slice")
+        .where("__close and __sparse")
+        .groupBy(*slice_keys)
         .agg(F.collect_set("__at").alias("__moments"))
-        .join(full.select(*keys, "__slice"), [*keys, "__slice"], "left_anti")
-        .select(*keys, "__slice", F.lit(False).alias("__full"), "__moments")
+        .select(*slice_keys, F.lit(False).alias("__full"), "__moments")
     )
     return stage(full.unionByName(flagged), "split-slices")
 
@@ -267,7 +277,7 @@ def with_sliding_split_flag(
 ) -> DataFrame:
     """Small contracts that lie in a window of ``days`` with at least ``min_rows``."""
     slices = sliding_split_slices(
-        df, customer, title, amount, date, limit=limit, min_rows=min_rows, days=days
+        df, customer, title, amount, date, limit=limit, min_rows=min_rows, days=days, **options
     )
     width = int(days * DAY)
     sliced = df.withColumn("__slice", start_of_slice(micros_of(F.col(date)), width))
@@ -362,6 +372,34 @@ def score_statistics(df: DataFrame, scores: tuple[str, ...] = ("price_z", "risk_
     return df.agg(F.array(*parts).alias("__rows")).select(F.inline("__rows"))
 
 
+def _slices_to_judge(slices: DataFrame, keys: list[str], width: int, min_rows: int) -> DataFrame:
+    """Full slices, and those whose contracts are ``__needed`` to judge a sparse slice.
+
+    Ordered per group over its slices, not its contracts.
+    """
+    in_time = Window.partitionBy(*keys).orderBy("__slice")
+
+    def beside(value: Column, nothing) -> list[Column]:
+        """The value in the adjoining slices before and after, if those exist."""
+        return [
+            F.when(
+                F.abs(move("__slice", 1).over(in_time) - F.col("__slice")) == width,
+                move(value, 1).over(in_time),
+            ).otherwise(F.lit(nothing))
+            for move in (F.lag, F.lead)
+        ]
+
+    before, after = beside(F.col("__n"), 0)
+    counted = slices.withColumn("__around", before + F.col("__n") + after)
+    judged = (F.col("__n") < min_rows) & (F.col("__around") >= min_rows)
+    marked = counted.withColumn("__judged", judged)
+    before, after = beside(F.col("__judged"), False)
+    needed = marked.withColumn("__needed", F.col("__judged") | before | after)
+    return needed.where((F.col("__n") >= min_rows) | F.col("__needed")).select(
+        *keys, "__slice", "__n", "__needed"
+    )
+
+
 def _small(df: DataFrame, customer: str, title: str, amount: str, limit: float) -> DataFrame:
     return df.where(
         all_of([F.col(amount) <= limit, F.col(customer).isNotNull(), F.col(title).isNotNull()])

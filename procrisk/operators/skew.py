@@ -50,18 +50,19 @@ def attach(
     df: DataFrame,
     groups: DataFrame,
     on: list[str],
+    how: str = "left",
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``df`` left-joined with ``groups``, a staged table with one row per key.
+    """``df`` joined with ``groups``, a staged table with one row per key.
 
     Groups of up to ``broadcast_bytes`` are broadcast and ``df`` is not shuffled at
     all; more go through ``skew_join``.
     """
     if size_of(groups) <= broadcast_bytes:
-        return df.join(F.broadcast(groups), on, "left")
-    return skew_join(df, groups, on, "left", right_unique=True, hot_rows=hot_rows)
+        return df.join(F.broadcast(groups), on, how)
+    return skew_join(df, groups, on, how, right_unique=True, hot_rows=hot_rows)
 
 
 def size_of(df: DataFrame) -> int:
