@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from procrisk.llm import quality
+from procrisk.llm import quality, secrets, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,10 +115,73 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f LEFT JOIN fences ON f.lang = fences.lang AND f.source = fences.source"""
 
 
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of the base rules' spans, a digest of these, and all spans of every text."""
+    found = secrets.scan(_table(spark, folder, "documents"))
+    spans = F.col("secret_spans")
+    base = F.filter(spans, lambda s: s["order"] < sum(r.base for r in secrets.RULES))
+
+    def count(order: int):
+        return F.size(F.filter(spans, lambda s: s["order"] == order)).cast("long")
+
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.written(base), 256).alias("base_sha256"),
+        secrets.written(spans).alias("spans"),
+    )
+
+
+def _spans_sql(order: int, rule: secrets.Rule) -> str:
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+  SELECT r, s.b + 1 AS b, s.e, {order} AS o, s.n FROM (
+    SELECT r, unnest(list_transform(range(1, len(hits) + 1), lambda i: {{
+      'b': list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+        + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) - 1,
+      'e': list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+        + list_sum(list_transform(hits[1:i], lambda x: length(x))),
+      'n': length(counted[i])}})) AS s
+    FROM (SELECT r, regexp_extract_all(text, '{pattern}', 0) AS hits,
+        regexp_extract_all(text, '{pattern}', {rule.group}) AS counted,
+        string_split_regex(text, '{pattern}') AS gaps FROM d)) WHERE s.n >= {rule.least}"""
+
+
+_KINDS_SQL = ", ".join(f"'{r.kind}'" for r in secrets.RULES)
+_BASE = sum(r.base for r in secrets.RULES)
+SECRETS_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+spans AS ({' UNION ALL '.join(_spans_sql(k, r) for k, r in enumerate(secrets.RULES))}),
+named AS (
+  SELECT *, [{_KINDS_SQL}][o + 1] || ':' || CAST(b AS BIGINT) || ':' || CAST(e AS BIGINT) AS t
+  FROM spans),
+told AS (
+  SELECT r, count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access,
+    count(*) FILTER (o = 2) AS n_hex,
+    string_agg(t, ',' ORDER BY b, o) FILTER (o < {_BASE}) AS base,
+    string_agg(t, ',' ORDER BY b, o) AS spans
+  FROM named GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans
+FROM d LEFT JOIN told ON d.r = told.r"""
+
+
+def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page's url by rule or model."""
+    return urls.verdicts(_table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Query] = {
+    "op9_url_filter": op9_url_filter,
     "op8_quality_rules": op8_quality_rules,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 SQL: dict[str, str] = {
+    "op10_secret_scan": SECRETS_SQL,
     "op8_quality_rules": QUALITY_SQL,
 }
