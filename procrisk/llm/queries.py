@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procrisk.llm import quality, secrets, urls
+from procrisk.llm import quality, secrets, tokenfiles, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -175,7 +175,39 @@ def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.verdicts(_table(spark, folder, "pages"))
 
 
+def vocabulary(name: str) -> str:
+    """Path of an installed public vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every text, by a model that never saw the held-out rows."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        "predicted",
+        F.size("spans").alias("n_spans"),
+    )
+
+
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Positions, counts and checksums of the ids, read back from the files."""
+    written = tokenfiles.write_tokens(
+        _table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json")
+    )
+    return tokenfiles.read_tokens(spark, written).select(
+        "doc_id", "start", "n_tokens", "ids_crc32"
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op4_toxicity": op4_toxicity,
+    "op6_token_files": op6_token_files,
     "op9_url_filter": op9_url_filter,
     "op8_quality_rules": op8_quality_rules,
     "op10_secret_scan": op10_secret_scan,
