@@ -200,9 +200,7 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     written = tokenfiles.write_tokens(
         _table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json")
     )
-    return tokenfiles.read_tokens(spark, written).select(
-        "doc_id", "start", "n_tokens", "ids_crc32"
-    )
+    return tokenfiles.read_tokens(spark, written, ids=False)
 
 
 QUERIES: dict[str, Query] = {

@@ -288,9 +288,11 @@ def _frames(shard, dictionary: Dictionary) -> Iterator[np.ndarray]:
         yield np.frombuffer(press.decompress(data[a:b]), dtype=kind)
 
 
-def read_tokens(spark, folder: str, doc_ids: list[int] | None = None) -> DataFrame:
-    """doc_id, start, n_tokens, ids and ids_crc32 of every document in the files, or of
-    ``doc_ids`` only, whose frames alone are decompressed."""
+def read_tokens(
+    spark, folder: str, doc_ids: list[int] | None = None, ids: bool = True
+) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 and, unless left out, the ids of every document in
+    the files, or of ``doc_ids`` only, whose frames alone are decompressed."""
     dictionary = _dictionary(spark, folder)
     shards = spark.read.schema(SHARDS).parquet(f"{folder}/shards")
     # One row per partition that was written: their number was chosen by the writer.
@@ -313,19 +315,19 @@ def read_tokens(spark, folder: str, doc_ids: list[int] | None = None) -> DataFra
                     arrays = _frames(shard, dictionary)
                 else:
                     arrays = _chosen(shard, dictionary, keys, wanted)
-                for key, count, ids in zip(keys, shard.counts, arrays, strict=True):
-                    if ids is not None:
-                        wide = ids.astype("<u4")
-                        rows.append((key, start, len(wide), wide, zlib.crc32(wide.tobytes())))
+                for key, count, found in zip(keys, shard.counts, arrays, strict=True):
+                    if found is not None:
+                        wide = found.astype("<u4")
+                        row = (key, start, len(wide), zlib.crc32(wide.tobytes()))
+                        rows.append((*row, found.astype(np.int32)) if ids else row)
                     start += int(count)
-                columns = ["doc_id", "start", "n_tokens", "ids", "ids_crc32"]
-                out = pd.DataFrame(rows, columns=columns)
+                columns = ["doc_id", "start", "n_tokens", "ids_crc32"]
+                out = pd.DataFrame(rows, columns=[*columns, "ids"] if ids else columns)
                 out["doc_id"] = out["doc_id"].astype("Int64")
                 yield out
 
-    return shards.mapInPandas(
-        unpack, "doc_id long, start long, n_tokens long, ids array<long>, ids_crc32 long"
-    )
+    kind = "doc_id long, start long, n_tokens long, ids_crc32 long"
+    return shards.mapInPandas(unpack, kind + ", ids array<int>" if ids else kind)
 
 
 def _chosen(shard, dictionary: Dictionary, keys: list, wanted: set) -> Iterator:
