@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procrisk.llm import quality, secrets, tokenfiles, toxicity, urls
+from procrisk.llm import (
+    pieces,
+    quality,
+    secrets,
+    setsketch,
+    substring,
+    suffix,
+    tiling,
+    tokenfiles,
+    toxicity,
+    urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -203,11 +214,52 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.read_tokens(spark, written, ids=False)
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every text outside strings of 200 bytes that occur elsewhere."""
+    return suffix.dedup(_table(spark, folder, "documents")).drop("kept")
+
+
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every text outside windows of 20 words that occur earlier."""
+    return substring.dedup(_table(spark, folder, "documents")).drop("kept")
+
+
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of every text, and whether they decode to it."""
+    model = pieces.load_pieces(vocabulary("piece_bpe_32k.model"))
+    rows = _table(spark, folder, "documents").select("doc_id", "text")
+    both = pieces.decode(pieces.encode(rows, model), model)
+    return both.select(
+        "doc_id",
+        F.size("piece_ids").cast("long").alias("n_pieces"),
+        "piece_ids",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts and the benchmark items whose words they hold."""
+    found = tiling.contaminations(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    )
+    return found.drop("text_key")
+
+
+def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Component of near copies of every text."""
+    return setsketch.near_duplicates(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_toxicity": op4_toxicity,
+    "op5_decontamination": op5_decontamination,
     "op6_token_files": op6_token_files,
-    "op9_url_filter": op9_url_filter,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_quality_rules": op8_quality_rules,
+    "op9_url_filter": op9_url_filter,
     "op10_secret_scan": op10_secret_scan,
 }
 
