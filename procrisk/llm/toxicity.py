@@ -354,6 +354,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _drawn(share: dict[int, float], seed: int) -> Column:
+    """Rows drawn by a hash of doc_id, of each class its share."""
+    least = F.when(F.col("toxic") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0))
+    return F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 20)) < least * (1 << 20)
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -368,24 +374,19 @@ def train(
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
+    # The sample of the labels bounds what is joined to the texts; these are not shuffled.
+    some = {r["toxic"]: min(1.0, max_documents / r["count"]) for r in known.groupBy("toxic").count().collect()}
     rows = (
         narrow(docs, "doc_id", "text")
         .where(F.length(text_of()).between(1, MAX_LENGTH))
-        .join(known, "doc_id")
+        .join(F.broadcast(known.where(_drawn(some, 11))), "doc_id")
     )
-    sizes = rows.groupBy("toxic").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("characters")
-    )
-    share = {
-        r["toxic"]: min(1.0, max_documents / r["n"], max_characters / r["characters"])
-        for r in sizes.collect()
-    }
+    sizes = rows.groupBy("toxic").agg(F.sum(F.length("text")).alias("characters"))
+    fewer = {r["toxic"]: min(1.0, max_characters / r["characters"]) for r in sizes.collect()}
+    share = {k: some[k] * fewer[k] for k in fewer}
     if not share:
         return fit_model([], np.zeros(0))
-    drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(11)), F.lit(1 << 20)) < F.lit(1 << 20) * (
-        F.when(F.col("toxic") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0))
-    )
-    sample = rows.where(drawn).select("text", "toxic").toPandas()
+    sample = rows.where(_drawn(fewer, 13)).select("text", "toxic").toPandas()
     odds = share.get(0, 1.0) / share.get(1, 1.0)
     return fit_model(sample["text"].tolist(), sample["toxic"].to_numpy(), odds)
 
