@@ -120,3 +120,9 @@ TABLE_COLUMNS = [
 MAX_NULL_LOT_SHARE = 0.1
 MAX_NULL_PROVIDER_SHARE = 0.5
 MIN_CUSTOMERS = 10
+
+# Words in column names that decide a column's type.
+METHOD_IDS = ["plan_method_id", "lot_method_id", "order_method_id"]
+TEXT_WORDS = ["name", "title", "description", "platform"]
+AMOUNT_WORDS = ["price", "amount", "_sum"]
+DATE_WORD = "date"

@@ -76,13 +76,12 @@ def traffic_light(score: str) -> Column:
 
 def composite_key(lot_number: str | None, customer: str, amount: str) -> Column:
     """Fallback identity of a row without a lot id: the first 16 hex digits of the
-    SHA-256 of number, customer and whole amount (half to even)."""
-    parts = [
-        F.coalesce(F.col(lot_number), F.lit("")) if lot_number else F.lit(""),
-        F.coalesce(F.col(customer), F.lit("")),
-        F.coalesce(F.bround(F.col(amount), 0).try_cast("bigint").cast("string"), F.lit("")),
-    ]
-    return F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 16)
+    SHA-256 of number, customer and whole amount (half to even). NULL without customer
+    or amount, or all such rows would be one."""
+    whole = F.bround(F.col(amount), 0).try_cast("bigint").cast("string")
+    number = F.coalesce(F.col(lot_number), F.lit("")) if lot_number else F.lit("")
+    key = F.substring(F.sha2(F.concat_ws("|", number, F.col(customer), whole), 256), 1, 16)
+    return F.when(F.col(customer).isNotNull() & whole.isNotNull(), key)
 
 
 def whole_days(start: str, end: str) -> Column:

@@ -3,11 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Forms of dates besides ISO: what is matched, and the same date in ISO form. A dotted
+# date names the month first, unless its first number cannot be one.
+_DATES = [
+    (r"^(1[3-9]|2\d|3[01])\.(\d{2})\.(\d{4})(.*)$", "$3-$2-$1$4"),
+    (r"^(\d{2})\.(\d{2})\.(\d{4})(.*)$", "$3-$1-$2$4"),
+    (r"^(\d{4})/(\d{2})/(\d{2})(.*)$", "$1-$2-$3$4"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+]
+_OFFSET = r"^(\d{4}-\d{2}-\d{2}[T ].*?\d)\s*([+-])(\d{2}):?(\d{2})$"
 
 
 def to_number(column: Column) -> Column:
-    """Text to double."""
-    return column.try_cast("double")
+    """Text to double; ``NaN`` is a missing value."""
+    number = column.try_cast("double")
+    return F.when(~F.isnan(number), number)
 
 
 def to_whole(column: Column) -> Column:
@@ -16,8 +28,16 @@ def to_whole(column: Column) -> Column:
 
 
 def to_moment(column: Column) -> Column:
-    """Text to timestamp without zone."""
-    return column.try_cast("timestamp_ntz")
+    """Text to timestamp without zone; a stamp with an offset is placed in UTC."""
+    text = F.trim(column.cast("string"))
+    for form, iso in _DATES:
+        text = F.regexp_replace(text, form, iso)
+    local = F.regexp_replace(F.regexp_replace(text, _OFFSET, "$1"), "[Zz]$", "")
+    part = lambda k: F.regexp_extract(text, _OFFSET, k)
+    hours, minutes = part(3).try_cast("int"), part(4).try_cast("int")
+    east = F.make_dt_interval(F.lit(0), F.coalesce(hours, F.lit(0)), F.coalesce(minutes, F.lit(0)))
+    moment = local.try_cast("timestamp_ntz")
+    return F.when(part(2) == "+", moment - east).when(part(2) == "-", moment + east).otherwise(moment)
 
 
 def coerce(column: Column, kind: str) -> Column:
@@ -32,5 +52,5 @@ def coerce(column: Column, kind: str) -> Column:
 
 
 def money(column: Column) -> Column:
-    """Exact two-digit decimal, so that sums do not depend on row order."""
-    return column.cast("decimal(18,2)")
+    """Exact decimal, so that sums do not depend on row order; NULL beyond 10^22."""
+    return column.try_cast("decimal(28,6)")

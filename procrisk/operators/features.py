@@ -111,7 +111,7 @@ def repeat_pairs(
     else:
         pairs = stage(pairs, "pairs")
         totals = pairs.groupBy(customer).agg(F.sum("__wins").alias("__total"))
-        pairs = skew_join(pairs, totals, [customer], "inner", right_unique=True)
+        pairs = skew_join(pairs, totals, [customer], "inner")
     counted = F.col("__total") if min_on == "customer" else F.col("__wins")
     suspicious = (counted >= min_contracts) & (F.col("__wins") / F.col("__total") > min_share)
     named = F.col(provider).isNotNull()

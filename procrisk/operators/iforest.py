@@ -65,27 +65,29 @@ def tree_samples(
 ) -> DataFrame:
     """``tree_id``, ``draw`` and the features of the sampled rows of every tree.
 
-    Rows are drawn by hashes of their unique ``key``, so partitioning and row order do
-    not matter. One hash per row picks the pool; only the pool meets all the trees.
+    Rows are drawn by hashes of ``key`` and features, so partitioning and row order do not
+    matter, and rows that share a key are drawn apart; equal rows count once. One hash per
+    row picks the pool; only the pool meets all the trees.
     """
+    row = list(dict.fromkeys([*key, *features]))
     wanted = min(max_samples, rows)
     share = min(1.0, widen * _POOL_FACTOR * trees * wanted / rows)
     per_tree = min(1.0, widen * 2 * wanted / (share * rows))
     pool = (
-        df.where(_unit(F.xxhash64(*key, F.lit(seed))) < share)
-        .groupBy(*key)
-        .agg(F.min(F.struct(*features)).alias("__x"))
+        df.select(*row)
+        .where(_unit(F.xxhash64(*row, F.lit(seed))) < share)
+        .distinct()
     )
     draws = (
         pool.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("draw", F.xxhash64(*key, "tree_id", F.lit(seed + 1)))
+        .withColumn("draw", F.xxhash64(*row, "tree_id", F.lit(seed + 1)))
         .where(_unit(F.col("draw")) < per_tree)
     )
-    order = Window.partitionBy("tree_id").orderBy("draw", *key)
+    order = Window.partitionBy("tree_id").orderBy("draw", *row)
     return (
         draws.withColumn("__rank", F.row_number().over(order))
         .where(F.col("__rank") <= max_samples)
-        .select("tree_id", "__rank", "__x.*")
+        .select("tree_id", "__rank", *features)
     )
 
 

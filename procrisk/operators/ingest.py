@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from procrisk import fixed
 from procrisk.functions.text import object_name
-from procrisk.operators.skew import HOT_ROWS, skew_join
+from procrisk.operators.skew import skew_join
 
 
 def page_ids(pages: DataFrame, *, carry: tuple[str, ...] = ("page",)) -> DataFrame:
@@ -23,12 +23,25 @@ def missing_ids(
     stored: DataFrame,
     *,
     id_col: str = "id",
+    entity: str | None = None,
     min_id: int = fixed.MIN_OBJECT_ID,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
-    """Rows of ``listed`` from ``min_id`` on whose id is not among ``stored``."""
+    """Rows of ``listed`` from ``min_id`` on whose id is not among ``stored``, or with
+    ``entity`` not among those stored for the same entity."""
     wanted = listed.where(F.col(id_col).try_cast("long") >= min_id)
-    return skew_join(wanted, stored, [id_col], "left_anti", hot_rows=hot_rows)
+    on = [entity, id_col] if entity else [id_col]
+    return skew_join(wanted, stored, on, "left_anti", hot_rows=hot_rows)
+
+
+def missing_counts(listed: DataFrame, stored: DataFrame, entity: str = "entity", **options) -> DataFrame:
+    """Per entity: listed ids from ``min_id`` on that are not stored for it, 0 included."""
+    missing = missing_ids(listed, stored, entity=entity, **options)
+    entities = listed.groupBy(entity).agg(F.lit(0).cast("long").alias("__none"))
+    counts = missing.groupBy(entity).agg(F.count("*").alias("missing"))
+    return entities.join(counts, entity, "left").select(
+        entity, F.coalesce("missing", "__none").alias("missing")
+    )
 
 
 def entity_status(listed: DataFrame, stored: DataFrame) -> DataFrame:
@@ -46,13 +59,12 @@ def entity_status(listed: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def outcome_tally(results: DataFrame, entity: str = "entity", status: str = "status") -> DataFrame:
-    """Per entity: count of every outcome, absent ones 0, and their total."""
-    return (
-        results.groupBy(entity)
-        .pivot(status, fixed.OUTCOMES)
-        .count()
-        .fillna(0, fixed.OUTCOMES)
-        .withColumn("total", sum((F.col(o) for o in fixed.OUTCOMES), F.lit(0).cast("long")))
+    """Per entity: count of every outcome, of any further one (``other``), and all."""
+    known = F.coalesce(F.col(status).isin(fixed.OUTCOMES), F.lit(False))
+    return results.groupBy(entity).agg(
+        *[F.count_if(F.col(status) == o).alias(o) for o in fixed.OUTCOMES],
+        F.count_if(~known).alias("other"),
+        F.count("*").alias("total"),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from procrisk import fixed
 from procrisk.functions import risk
-from procrisk.operators.skew import HOT_ROWS, skew_join
+from procrisk.operators.skew import skew_join
 from procrisk.schemas import flat_type
 
 
@@ -24,13 +24,13 @@ def join_contracts(
     *,
     how: str = "left",
     key: str = "lot_id",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """One row per contract, matching lot and matching plan: 16 columns.
 
     Contracts without a key are dropped. ``how="inner"`` keeps complete chains only.
-    Plans are joined to lots first, which gives the same rows and lets both key counts
-    run on the input tables. Keys are strings since typing, so no cast hides them.
+    Plans are joined to lots first, which gives the same rows. Keys are strings since
+    typing, so no cast hides them. ``hot_rows``: see ``skew_join``.
     """
     contracts = with_columns_present(contracts, fixed.CONTRACT_COLUMNS)
     lots = with_columns_present(lots, fixed.LOT_COLUMNS)
@@ -41,7 +41,7 @@ def join_contracts(
     planned = skew_join(lots, plans, ["plan_id"], how, hot_rows=hot_rows)
     contracts = contracts.select(*dict.fromkeys(keys + fixed.CONTRACT_COLUMNS))
     contracts = contracts.where(F.col(key).isNotNull())
-    joined = skew_join(contracts, planned, [key], how, right_keys=lots.select(key), hot_rows=hot_rows)
+    joined = skew_join(contracts, planned, [key], how, hot_rows=hot_rows)
     return joined.select(*fixed.CONTRACT_COLUMNS, *fixed.LOT_COLUMNS, *fixed.PLAN_COLUMNS)
 
 

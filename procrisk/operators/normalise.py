@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from procrisk.fixed import PATHS
 from procrisk.functions.types import coerce
 from procrisk.schemas import flat_type, raw_schema
-from procrisk.sources.documents import read_objects
+from procrisk.sources.documents import parse, read_texts, records_of, rejects_of
 from procrisk.sources.tables import write_csv, write_parquet
 
 
@@ -68,23 +68,30 @@ def normalise_entity(
     kind: str = "parquet",
     whole_files: bool = True,
 ) -> dict:
-    """Reads, normalises and stores one entity; returns entity, records, columns, file.
+    """Reads, normalises and stores one entity; returns entity, records, columns, file and
+    the number of documents that could not be read.
 
-    The rows are counted while they are written. Without rows ``file`` is None.
+    Rows and rejects are counted while the table is written. Without rows ``file`` is
+    None. Rejected documents, if any, are stored beside it as ``<entity>.rejects``.
     """
-    records, _ = read_objects(spark, raw, raw_schema(entity), whole_files)
-    table = normalise(records, entity)
+    parsed = parse(read_texts(spark, raw, whole_files), raw_schema(entity))
+    unread = Observation(f"rejects of {entity}")
+    observed = parsed.observe(unread, F.count_if(F.col("records").isNull()).alias("rejects"))
+    table = normalise(records_of(observed), entity)
     counted = Observation(f"rows of {entity}")
     observed = table.observe(counted, F.count(F.lit(1)).alias("records"))
     write = {"parquet": write_parquet, "csv": write_csv}[kind]
     path = write(observed, f"{out}/{entity}.{kind}")
-    rows = counted.get["records"]
+    rows, rejects = counted.get["records"], unread.get["rejects"]
+    if rejects:
+        write_parquet(rejects_of(parsed), f"{out}/{entity}.rejects")
     return {
         "entity": entity,
         "records": rows,
         "columns": table.columns if rows else [],
         "file": path if rows else None,
         "error": None,
+        "rejects": rejects,
     }
 
 
@@ -102,7 +109,12 @@ def normalise_all(
             )
         except Exception as error:  # noqa: BLE001 - any failure belongs in the report
             results.append(
-                {"entity": entity, "records": 0, "columns": [], "file": None, "error": str(error)}
+                {
+                    "entity": entity, "records": 0, "columns": [], "file": None,
+                    "error": str(error), "rejects": None,
+                }
             )
-    schema = "entity string, records long, columns array<string>, file string, error string"
+    schema = (
+        "entity string, records long, columns array<string>, file string, error string, rejects long"
+    )
     return spark.createDataFrame([tuple(r.values()) for r in results], schema)

@@ -94,13 +94,18 @@ def create_views(df: DataFrame) -> list[str]:
 
 
 def total_money(column: str):
-    """Sum through exact decimals, as double."""
-    return F.sum(money(F.col(column))).cast("double")
+    """Sum through exact decimals, as double. Values that no such decimal can hold are
+    added as doubles; NaN counts as missing."""
+    value = F.col(column)
+    beyond = F.sum(F.when(money(value).isNull() & ~F.isnan(value.cast("double")), value.cast("double")))
+    exact = F.sum(money(value)).cast("double")
+    return F.coalesce(exact + beyond, exact, beyond)
 
 
 def mean_money(column: str, digits: int = 6):
-    """Mean through an exact decimal sum, as double."""
-    mean = F.try_divide(F.sum(money(F.col(column))).cast("double"), F.count(column))
+    """Mean through an exact decimal sum, as double; NaN counts as missing."""
+    held = F.count(F.when(~F.isnan(F.col(column).cast("double")), F.col(column)))
+    mean = F.try_divide(total_money(column), held)
     return F.round(mean, digits)
 
 

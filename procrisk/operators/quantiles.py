@@ -6,7 +6,8 @@ is narrowed down: count its values per coarse magnitude bucket, keep the bucket
 holds the wanted rank, count that one per fine bucket, and only then per value. Each
 step aggregates on (group, bucket), so no task ever holds such a group.
 
-Calling these functions runs one counting job to find the large groups.
+Calling these functions runs one counting job to find the large groups. Their list is
+stored, and broadcast only while it is small.
 """
 
 from __future__ import annotations
@@ -14,13 +15,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from procrisk.operators.skew import hot_groups, running_total
-from procrisk.session import pin, stage
+from procrisk.operators.skew import BROADCAST_BYTES, running_total, size_of
+from procrisk.session import stage
 
 # Largest group whose distinct values may sit in one aggregation buffer.
 HOT_ROWS = 250_000
-# Groups narrowed down at once; their list is broadcast. See skew.MAX_HOT.
-MAX_HOT = 50_000
 
 _VALUE, _COUNT, _ROWS = "__value", "__count", "__rows"
 _COARSE, _FINE = "__coarse", "__fine"
@@ -39,7 +38,6 @@ def group_quantile(
     name: str = "quantile",
     count_values: bool = True,
     hot_rows: int = HOT_ROWS,
-    max_hot: int = MAX_HOT,
 ) -> DataFrame:
     """``keys``, ``n`` (values that are not NULL or NaN) and the linear ``q`` quantile.
 
@@ -47,7 +45,7 @@ def group_quantile(
     values rarely repeat and rescanning the rows is cheap.
     """
     points = _points(df, keys, value, count_values)
-    hot = _hot(points, keys, hot_rows, max_hot)
+    hot = _hot(points, keys, hot_rows)
 
     def direct(part: DataFrame) -> DataFrame:
         return part.groupBy(*keys).agg(
@@ -71,11 +69,10 @@ def group_median_mad(
     value: str,
     *,
     hot_rows: int = HOT_ROWS,
-    max_hot: int = MAX_HOT,
 ) -> DataFrame:
     """``keys``, ``n``, ``median`` and ``mad`` (median absolute deviation) per group."""
     points = _points(df, keys, value, True)
-    hot = _hot(points, keys, hot_rows, max_hot)
+    hot = _hot(points, keys, hot_rows)
 
     def direct(part: DataFrame) -> DataFrame:
         # Window and aggregation share their partitioning: one shuffle for both.
@@ -99,11 +96,11 @@ def group_median_mad(
     centre = stage(
         _narrow(large, hot, keys, 0.5).select(*keys, F.col(_VALUE).alias("median")), "hot-medians"
     )
-    off = large.join(F.broadcast(centre), keys).withColumn(
+    off = large.join(_sized(centre), keys).withColumn(
         _VALUE, F.abs(F.col(_VALUE) - F.col("median"))
     )
     spread = _narrow(off, hot, keys, 0.5).withColumnsRenamed({_ROWS: "n", _VALUE: "mad"})
-    many = spread.join(F.broadcast(centre), keys).select(*keys, "n", "median", "mad")
+    many = spread.join(_sized(centre), keys).select(*keys, "n", "median", "mad")
     return direct(_not_of(points, hot, keys)).unionByName(many)
 
 
@@ -135,17 +132,24 @@ def _points(df: DataFrame, keys: list[str], value: str, count_values: bool) -> D
     return rows.withColumn(_COUNT, F.lit(1).cast("long"))
 
 
-def _hot(points: DataFrame, keys: list[str], hot_rows: int, max_hot: int) -> DataFrame | None:
+def _hot(points: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
+    """All groups above ``hot_rows``, stored; None when there are none."""
     sizes = points.groupBy(*keys).agg(F.sum(_COUNT).alias(_ROWS))
-    return pin(hot_groups(sizes, keys, _ROWS, hot_rows, max_hot))
+    found = stage(sizes.where(F.col(_ROWS) > hot_rows), "large-groups")
+    return None if found.isEmpty() else _sized(found)
+
+
+def _sized(groups: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast while it is small."""
+    return F.broadcast(groups) if size_of(groups) <= BROADCAST_BYTES else groups
 
 
 def _of(points: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    return points.join(F.broadcast(hot.select(*keys)), keys)
+    return points.join(hot.select(*keys), keys)
 
 
 def _not_of(points: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    return points.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return points.join(hot.select(*keys), keys, "left_anti")
 
 
 def _narrow(points: DataFrame, hot: DataFrame, keys: list[str], q: float) -> DataFrame:
@@ -159,9 +163,8 @@ def _narrow(points: DataFrame, hot: DataFrame, keys: list[str], q: float) -> Dat
     rows = rows.withColumn(_FINE, _fine(F.col(_VALUE), F.col(_COARSE)))
     path = list(keys)
     for step in (_COARSE, _FINE, _VALUE):
-        # Two wanted ranks per hot group: a broadcast of fixed size.
         counts = (
-            rows.join(F.broadcast(wanted), path)
+            rows.join(wanted, path)
             .groupBy(*path, _SIDE, _RANK, step)
             .agg(F.sum(_COUNT).alias(_COUNT))
             .withColumn(_UPTO, running_total(_COUNT, [*path, _SIDE], [step]))
@@ -175,7 +178,7 @@ def _narrow(points: DataFrame, hot: DataFrame, keys: list[str], q: float) -> Dat
     share = place - F.floor(place)
     between = (1 - share) * F.col("__low") + share * F.col("__high")
     same = F.col("__low") == F.col("__high")
-    return ends.join(F.broadcast(hot), keys).select(
+    return ends.join(hot, keys).select(
         *keys, _ROWS, F.when(same, F.col("__low")).otherwise(between).alias(_VALUE)
     )
 

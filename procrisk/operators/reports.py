@@ -167,7 +167,7 @@ def risk_table(df: DataFrame, flags: list[str] | None = None) -> DataFrame:
     columns = [c for c in fixed.TABLE_COLUMNS if c in df.columns] + ([score] if score else [])
     columns += flag_columns(df) if flags is None else flags
     if "risk_category" not in df.columns:
-        return df.select(*columns).limit(fixed.TABLE_ROWS)
+        return df.select(*columns).orderBy(*columns).limit(fixed.TABLE_ROWS)
     return df.where(F.col("risk_category").isin("High", "Medium")).select(*columns)
 
 

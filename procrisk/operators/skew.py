@@ -1,7 +1,9 @@
 """Joins and group look-ups that hold when one key owns a large part of the rows.
 
-The functions look at key sizes first (a pre-aggregated count, one job per call) and
-choose the plan by them, so an evenly spread table gets a plain join.
+A key that is frequent on one side is left to adaptive execution, which splits its
+partition while the join runs. Rows without a key match nothing and are spread over all
+partitions. Only a key frequent on both sides may need more, because an outer join splits
+its left side alone; callers that expect such keys say from how many rows on.
 """
 
 from __future__ import annotations
@@ -14,19 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from procrisk.functions.logic import any_of
-from procrisk.session import pin
-
-# Rows of one key that one task may take before the key is spread over several.
-HOT_ROWS = 1_000_000
-# Heaviest keys that are spread. The list is broadcast, so its size is fixed; a key
-# outside the list holds less than 1/MAX_HOT of all rows.
-MAX_HOT = 10_000
-# Tasks over which rows with a NULL key are spread: they match nothing.
-NULL_FAN = 4_096
+from procrisk.session import stage
+
 # Largest group table that is broadcast, by the measured size of its values.
 BROADCAST_BYTES = 32 << 20
 
-_ROWS, _FAN, _SIDE, _SALT, _RIGHT_SALT = "__rows", "__fan", "__side", "__salt", "__right_salt"
+_SPREAD, _LEFT, _RIGHT = "__spread", "__left_fan", "__right_fan"
 
 
 def running_total(value: str, within: list[str], order: list[str]) -> Column:
@@ -35,17 +30,6 @@ def running_total(value: str, within: list[str], order: list[str]) -> Column:
     return F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
-def hot_groups(
-    sizes: DataFrame, keys: list[str], rows: str, hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT
-) -> DataFrame:
-    """The at most ``max_hot`` heaviest groups above ``hot_rows`` rows.
-
-    ``sizes`` holds one row per group. A top-k, hence bounded whatever the data, and
-    the same on every evaluation because ties are broken by the keys.
-    """
-    return sizes.where(F.col(rows) > hot_rows).orderBy(F.desc(rows), *keys).limit(max_hot)
-
-
 def attach(
     df: DataFrame,
     groups: DataFrame,
@@ -53,7 +37,6 @@ def attach(
     how: str = "left",
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``df`` joined with ``groups``, a staged table with one row per key.
 
@@ -62,7 +45,7 @@ def attach(
     """
     if size_of(groups) <= broadcast_bytes:
         return df.join(F.broadcast(groups), on, how)
-    return skew_join(df, groups, on, how, right_unique=True, hot_rows=hot_rows)
+    return skew_join(df, groups, on, how)
 
 
 def size_of(df: DataFrame) -> int:
@@ -86,92 +69,69 @@ def skew_join(
     on: list[str],
     how: str = "left",
     *,
-    right_unique: bool = False,
-    right_keys: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-    max_hot: int = MAX_HOT,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Equi-join (``left``, ``inner``, ``left_semi``, ``left_anti``) with hot keys.
 
-    A key with more than ``hot_rows`` left rows gets one salt per ``hot_rows`` of them
-    and its right rows are repeated once per salt. Keys with more than ``hot_rows``
-    right rows are joined apart, with both sides salted. Rows with a NULL key match
-    nothing and are only spread. ``right_unique`` says that no right key repeats;
-    ``right_keys`` is a cheaper table with the same heavy keys as ``right``.
+    Without ``hot_rows`` nothing is counted beforehand. With it, keys of more rows than
+    that on both sides are found by counting both, stored, and joined apart: each side is
+    dealt to salts and repeated for those of the other.
     """
     if how in ("left_semi", "left_anti"):
-        right, right_unique = right.select(*on).distinct(), True
-    sides = {0: left} if right_unique else {0: left, 1: (right_keys or right).dropna(subset=on)}
-    hot = _hot(sides, on, hot_rows, max_hot)
-    if hot is None:
-        return left.join(right, on, how)
-    left_hot, right_hot = (hot.where(F.col(_SIDE) == side).drop(_SIDE) for side in (0, 1))
-    right = right.dropna(subset=on)
-    if right_hot.isEmpty():
-        return _salted(left, right, on, how, left_hot, None)
-    keys = F.broadcast(right_hot.select(*on))
-    rest = _salted(
-        left.join(keys, on, "left_anti"), right.join(keys, on, "left_anti"), on, how, left_hot, None
+        return _spread(left, right.select(*on).distinct(), on, how)
+    if hot_rows is None:
+        return _spread(left, right, on, how)
+    hot = stage(_hot(left, right, on, hot_rows), "hot-keys")
+    if hot.isEmpty():
+        return _spread(left, right, on, how)
+    keys = hot.select(*on)
+    rest = _spread(
+        attach(left, keys, on, "left_anti"), attach(right, keys, on, "left_anti"), on, how
     )
-    # These keys have right rows, so an inner join loses no left row.
-    heavy = _salted(left.join(keys, on), right.join(keys, on), on, "inner", left_hot, right_hot)
+    # These keys have rows on both sides, so an inner join loses none.
+    a = _dealt(attach(left, hot, on, "inner"), _LEFT, _RIGHT)
+    b = _dealt(attach(right, hot, on, "inner"), _RIGHT, _LEFT)
+    salts = [f"{_LEFT}_salt", f"{_RIGHT}_salt"]
+    heavy = a.join(b, [*on, *salts], "inner").drop(*salts)
     return rest.unionByName(heavy)
 
 
-def _hot(sides: dict[int, DataFrame], on: list[str], hot_rows: int, max_hot: int) -> DataFrame | None:
-    """Hot keys of every side and the salts each gets, from one job."""
-    found = None
-    for side, df in sides.items():
-        sizes = df.groupBy(*on).agg(F.count("*").alias(_ROWS))
-        heavy = hot_groups(sizes, on, _ROWS, hot_rows, max_hot).select(
-            *on,
-            F.ceil(F.col(_ROWS) / hot_rows).cast("int").alias(_FAN),
-            F.lit(side).alias(_SIDE),
-        )
-        found = heavy if found is None else found.unionByName(heavy)
-    return pin(found)
+def _spread(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    """The join, with rows of no key dealt to all partitions by their other values."""
+    if how == "inner" or not any(left.schema[key].nullable for key in on):
+        return left.join(right, on, how)
+    no_key = any_of([F.col(key).isNull() for key in on])
+    left = left.withColumn(_SPREAD, F.when(no_key, _row_hash(left)).otherwise(F.lit(0)))
+    right = right.dropna(subset=on).withColumn(_SPREAD, F.lit(0).cast("long"))
+    return left.join(right, [*on, _SPREAD], how).drop(_SPREAD)
 
 
-def _salted(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    how: str,
-    left_hot: DataFrame,
-    right_hot: DataFrame | None,
-) -> DataFrame:
-    no_key = any_of([F.col(key).isNull() for key in on])
-    fan = F.coalesce(F.col(_FAN), F.when(no_key, F.lit(NULL_FAN)), F.lit(1))
-    left = _assign(left, left_hot, on, fan, _SALT)
-    right = _repeat(right, left_hot, on, _SALT)
-    salts = [_SALT]
-    if right_hot is not None:
-        right = _assign(right, right_hot, on, F.coalesce(F.col(_FAN), F.lit(1)), _RIGHT_SALT)
-        left = _repeat(left, right_hot, on, _RIGHT_SALT)
-        salts.append(_RIGHT_SALT)
-    return left.join(right, [*on, *salts], how).drop(*salts)
-
-
-def _assign(df: DataFrame, hot: DataFrame, on: list[str], fan: Column, salt: str) -> DataFrame:
-    """Each row to one salt of its key. The salt depends on the row and its input
-    partition alone: copies of one row land apart, and a task that is run again after
-    an executor was lost repeats its salts."""
+def _hot(left: DataFrame, right: DataFrame, on: list[str], hot_rows: int) -> DataFrame:
+    """Keys of more than ``hot_rows`` rows on both sides, and the salts each side gets."""
+
+    def heavy(df: DataFrame, fan: str) -> DataFrame:
+        sizes = df.dropna(subset=on).groupBy(*on).agg(F.count("*").alias("__rows"))
+        found = sizes.where(F.col("__rows") > hot_rows)
+        return found.select(*on, F.ceil(F.col("__rows") / hot_rows).cast("int").alias(fan))
+
+    return heavy(left, _LEFT).join(heavy(right, _RIGHT), on)
+
+
+def _dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+    """Each row to one salt of its own side, repeated for every salt of the other. A row's
+    salt depends on its values and input partition alone, so a repeated task repeats it."""
+    salt = F.pmod(F.xxhash64(_row_hash(df), F.spark_partition_id()), F.col(own)).cast("int")
+    return (
+        df.withColumn(f"{own}_salt", salt)
+        .withColumn(f"{other}_salt", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        .drop(own, other)
+    )
+
+
+def _row_hash(df: DataFrame) -> Column:
     hashed = [
         F.col(f"`{field.name}`")
         for field in df.schema
         if not isinstance(field.dataType, (T.MapType, T.VariantType))
     ]
-    return (
-        df.join(F.broadcast(hot), on, "left")
-        .withColumn(salt, F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), fan).cast("int"))
-        .drop(_FAN)
-    )
-
-
-def _repeat(df: DataFrame, hot: DataFrame, on: list[str], salt: str) -> DataFrame:
-    """Each row once per salt of its key."""
-    return (
-        df.join(F.broadcast(hot), on, "left")
-        .withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce(_FAN, F.lit(1)) - 1)))
-        .drop(_FAN)
-    )
+    return F.xxhash64(*hashed)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procrisk.functions.types import money
 from procrisk.operators.features import engineer_features
 from procrisk.operators.joins import procurements
 from procrisk.operators.reports import with_category
@@ -27,11 +26,11 @@ def contracts(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     lines = table(spark, folder, "lineitem")
     # In decimals throughout: a product rounded from doubles depends on the engine.
-    paid = money(F.col("l_extendedprice")) * (1 - 2 * F.col("l_discount").cast("decimal(4,2)"))
+    paid = F.col("l_extendedprice").cast("decimal(18,2)") * (1 - 2 * F.col("l_discount").cast("decimal(4,2)"))
     # Lines are summed per order before the join: a third of all lines in one order
     # is one partial sum per task, and the join meets unique keys.
     sums = lines.groupBy("l_orderkey").agg(
-        F.sum(money(F.col("l_extendedprice"))).cast("double").alias("contract_sum"),
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("contract_sum"),
         F.sum(paid).cast("double").alias("paid_sum"),
         F.max("l_shipdate").alias("accept_date"),
         F.max("l_linenumber").alias("order_method_id"),

@@ -4,20 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from procrisk.fixed import PATHS
-
-METHOD_IDS = ("plan_method_id", "lot_method_id", "order_method_id")
+from procrisk.fixed import AMOUNT_WORDS, DATE_WORD, METHOD_IDS, PATHS, TEXT_WORDS
 
 
 def flat_type(column: str) -> str:
     """Type of a flat column, by the naming rules of the data model."""
     name = column.lower()
-    textual = any(word in name for word in ("name", "title", "description", "platform"))
+    textual = any(word in name for word in TEXT_WORDS)
     if name in METHOD_IDS:
         return "int"
-    if "date" in name:
+    if DATE_WORD in name:
         return "timestamp_ntz"
-    if any(word in name for word in ("price", "amount", "_sum")) and not textual:
+    if any(word in name for word in AMOUNT_WORDS) and not textual:
         return "double"
     return "string"
 

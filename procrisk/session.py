@@ -59,10 +59,3 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def pin(df: DataFrame) -> DataFrame | None:
-    """``df`` computed once and kept as literal rows, or None when it has none. Only for
-    tables whose size is bounded by a limit, whatever the data."""
-    rows = df.collect()
-    return df.sparkSession.createDataFrame(rows, df.schema) if rows else None

@@ -58,7 +58,7 @@ def read_pages(
     record: T.DataType | None = None,
     number: str = r"([0-9]+)\.json$",
 ) -> DataFrame:
-    """List pages in page order, unreadable ones left out.
+    """List pages, unreadable ones left out; ``page`` gives their order.
 
     ``number`` finds the page number in the file path. Columns: ``page``, ``content``,
     ``totalPages``, ``totalElements`` and ``records``, the length of the content.
@@ -69,7 +69,6 @@ def read_pages(
         parsed.where(F.col("records").isNotNull())
         .select(page_number(number).alias("page"), F.inline("records"))
         .withColumn("records", F.coalesce(F.size("content"), F.lit(0)))
-        .orderBy("page")
     )
 
 

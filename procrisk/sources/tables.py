@@ -49,11 +49,17 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    multiline: bool = True,
+) -> DataFrame:
     """CSV table with a header; an empty field is NULL. Without a schema the types are
-    inferred by a scan."""
+    inferred by a scan. Files whose fields hold no line breaks can be split among tasks:
+    read them with ``multiline=False``."""
     require_inputs(spark, [path])
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     return reader.csv(path)
 

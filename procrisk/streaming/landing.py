@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from procrisk.sources.documents import SOURCE, TEXT, parse, records_of
+from procrisk.sources.documents import SOURCE, TEXT, parse, records_of, rejects_of
 
 
 def land_new_objects(
@@ -17,11 +17,14 @@ def land_new_objects(
     progress: str,
     transform=None,
     max_files: int = 100_000,
+    rejects: str | None = None,
 ) -> DataFrame:
     """Appends the objects of files not yet seen to ``sink`` and returns the table.
 
     The checkpoint ``progress`` remembers the files, so a second run, or one repeated
     after a failure, takes each file once. ``transform`` maps the records first.
+    Documents that cannot be read are appended to ``rejects`` (``<sink>_rejects``) by a
+    query with a checkpoint of its own, so that none is marked as done and lost.
     """
     texts = (
         spark.readStream.option("maxFilesPerTrigger", max_files)
@@ -29,15 +32,21 @@ def land_new_objects(
         .text(source, wholetext=True)
         .select(F.col("_metadata.file_path").alias(SOURCE), F.col("value").alias(TEXT))
     )
-    records = records_of(parse(texts, schema))
+    parsed = parse(texts, schema)
+    records = records_of(parsed)
     if transform:
         records = transform(records)
+    _append(rejects_of(parsed), rejects or f"{sink}_rejects", f"{progress}_rejects")
+    _append(records, sink, progress)
+    return spark.read.schema(records.schema).parquet(sink)
+
+
+def _append(rows: DataFrame, sink: str, progress: str) -> None:
     query = (
-        records.writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .option("path", sink)
         .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(records.schema).parquet(sink)

