@@ -8,10 +8,11 @@ candidates. From the registers that are larger, smaller and equal and from the s
 both sets the likelihood of each similarity follows; pairs whose likeliest similarity is far
 below the threshold are dropped, all others are verified on the whole sets.
 
-A band's bucket is not expanded into pairs. First each member is compared with the bucket's
-smallest; links then join members to components. Only members that are not in the largest
-component of their bucket are compared with the members outside their own. Pairs within a
-component need no comparison, so that no link between components is missed.
+A band's bucket is not expanded into pairs. First each member is compared with the one that
+shares most bucket places with others; links then join members to components. Pairs within
+a component need no comparison. All members of a centre's buckets that are left in different
+components are compared in blocks, on their whole sets, without making rows for pairs, so
+that no link between components is missed.
 
 With 48 bands of 5 registers a pair at the threshold is missed with probability 2e-6.
 
@@ -44,6 +45,9 @@ BANDS, ROWS = 48, 5
 REGISTERS = BANDS * ROWS
 #: Registers are powers of this base, 16 bits wide; the rate scales the exponentials.
 BASE, RATE, LARGEST = 1.001, 20.0, (1 << 16) - 1
+#: Members of a block that one task compares with another block, and shingles at once.
+BLOCK = 256
+_COLUMNS = 8192
 #: A pair is verified unless its likeliest similarity is below this; the threshold lies six
 #: standard errors above.
 LIKELY = 0.57
@@ -227,27 +231,133 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFram
     return found.where(shared * 100 >= union * PERCENT).select("a", "b").distinct()
 
 
-def _strays(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a bucket's members in different components, one of them outside the bucket's
-    largest."""
-    own = members.join(labels, "id", "left").select(
-        "band", "id", F.coalesce("component", "id").alias("component")
-    )
-    own = stage(own, "bucket-members")
-    sizes = own.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("band").agg(
-        F.max(F.struct("n", "component"))["component"].alias("largest"),
-        F.count(F.lit(1)).alias("parts"),
+def _with_weight(members: DataFrame) -> DataFrame:
+    """``members`` (band, id, members) with ``weight``, how many bucket places a member shares
+    with others in all: the text that others are copies of has the most."""
+    weights = members.groupBy("id").agg(F.sum("members").alias("weight"))
+    return members.select("band", "id").join(weights, "id")
+
+
+def _centres(members: DataFrame) -> DataFrame:
+    """(band, centre): the weightiest of each bucket, the smallest id of equals."""
+    first = F.max(F.struct("weight", (-F.col("id")).alias("order")))
+    return members.groupBy("band").agg((-first["order"]).alias("centre"))
+
+
+def _pairs(a: str, b: str) -> list:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(band, id, component) of the members of buckets that lie in several components."""
+    own = members.select("band", "id").join(labels, "id", "left")
+    own = stage(own.withColumn("component", F.coalesce("component", "id")), "bucket-members")
+    parts = own.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return stage(own.join(parts.where("low < high").select("band"), "band"), "open-buckets")
+
+
+def _alone(sets: DataFrame) -> DataFrame:
+    """(id, n, alone): the size of a set and how many of its shingles no other set here has.
+    Ids with several sets count as if they had none alone."""
+    sizes = sets.groupBy("id").agg(
+        F.max(F.size("shingles")).alias("n"), F.count(F.lit(1)).alias("sets")
     )
-    own = stage(own.join(largest.where("parts > 1"), "band"), "open-buckets")
-    stray = own.where("component <> largest").select(
-        "band", F.col("id").alias("a"), F.col("component").alias("own")
+    owners = sets.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle")
+    own = owners.agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("held")).where("held = 1")
+    counts = own.groupBy("id").agg(F.count(F.lit(1)).alias("found"))
+    alone = F.when(F.col("sets") == 1, F.coalesce("found", F.lit(0))).otherwise(F.lit(0))
+    return sizes.join(counts, "id", "left").select("id", "n", alone.alias("alone"))
+
+
+def _links(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
+    """Links that join the members of every bucket as all their verified pairs would.
+
+    One centre is compared with its whole bucket. After that only pairs across components
+    matter. Shingles that no other member of an open bucket has cannot be shared: a set with
+    more than a quarter of such shingles reaches the threshold with none.
+    """
+    centres = stage(_centres(members), "centres")
+    stars = members.join(beside(centres, 16), "band").where("id <> centre")
+    links = stage(_verified(docs, classes, stars.select(*_pairs("centre", "id")).distinct()), "links")
+    left = _unsettled(members, components(links))
+    if left.isEmpty():
+        return links
+    sets = stage(_shingles(docs, stage(left.select("id").distinct(), "open-ids")), "open-sets")
+    facts = stage(_alone(sets), "open-facts")
+    bounded = facts.where(F.col("alone") * 100 <= F.col("n") * (100 - PERCENT)).select("id")
+    left = left.join(beside(bounded, 16), "id", "left_semi").join(beside(centres, 16), "band")
+    left = stage(left.select("centre", "id", "component").distinct(), "open-members")
+    return links.union(stage(_across(left, sets), "links"))
+
+
+def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members (centre, id, component) of a centre's buckets that lie in
+    different components.
+
+    The members of a centre are dealt to blocks of about ``BLOCK``; a task gets two blocks
+    and counts their overlaps as a product of matrices, so no row is made for a pair. It
+    returns a forest of the links it found.
+    """
+    sizes = members.groupBy("centre").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
     )
-    pairs = stray.join(own, "band").where(
-        (F.col("component") != F.col("own"))
-        & ((F.col("component") == F.col("largest")) | (F.col("a") < F.col("id")))
+    sizes = stage(sizes.where("low < high").select("centre", "blocks"), "centre-blocks")
+    rows = members.join(beside(sizes, 24), "centre")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select(
+        "centre", "id", "component", "block",
+        F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
     )
-    return pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
+    rows = rows.join(sets, "id")
+    return rows.groupBy("centre", "first", "second").applyInPandas(_compare, "a long, b long")
+
+
+def _compare(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links of different components between two blocks, or within one."""
+    empty = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+    if len(rows) < 2:
+        return empty
+    ids, component = rows["id"].to_numpy(), rows["component"].to_numpy()
+    sets = [np.asarray(s) for s in rows["shingles"]]
+    n = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), n)
+    # Shingles with one owner overlap with nothing.
+    _, kind, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[kind] >= 2
+    number = np.cumsum(count >= 2) - 1
+    owner, kind = owner[shared], number[kind[shared]]
+    first = rows["block"].to_numpy() == rows["first"].to_numpy()
+    one, two = np.flatnonzero(first), np.flatnonzero(~first)
+    if not len(two):
+        two = one
+    overlap = np.zeros((len(one), len(two)), dtype=np.float32)
+    order = np.argsort(kind, kind="stable")
+    owner, kind = owner[order], kind[order]
+    for low in range(0, int(kind.max(initial=-1)) + 1, _COLUMNS):
+        a, b = np.searchsorted(kind, [low, low + _COLUMNS])
+        holds = np.zeros((len(sets), _COLUMNS), dtype=np.float32)
+        holds[owner[a:b], kind[a:b] - low] = 1
+        overlap += holds[one] @ holds[two].T
+    union = n[one][:, None] + n[two][None, :] - overlap
+    linked = (overlap * 100 >= union * PERCENT) & (component[one][:, None] != component[two][None, :])
+    at, to = np.nonzero(linked)
+    root = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    out = []
+    for x, y in zip(one[at].tolist(), two[to].tolist(), strict=True):
+        p, q = find(int(component[x])), find(int(component[y]))
+        if p != q:
+            root[p] = q
+            out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+    return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64) if out else empty
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -265,17 +375,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     bands = _bands(classes).distinct()
     buckets = (
-        bands.groupBy("band")
-        .agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("members"))
-        .where("members > 1")
+        bands.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     )
-    buckets = beside(stage(buckets.select("band", "least"), "buckets"), 40)
-    members = stage(bands.join(buckets, "band"), "members")
-    stars = members.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"))
-    links = stage(_verified(docs, classes, stars.distinct()), "star-links")
-    strays = stage(_strays(members.select("band", "id"), components(links)), "stray-pairs")
-    if not strays.isEmpty():
-        links = links.union(_verified(docs, classes, strays))
+    members = bands.join(beside(stage(buckets, "buckets"), 40), "band")
+    members = stage(_with_weight(stage(members, "members")), "weighed-members")
+    links = _links(docs, classes, members)
     copies = linked.select("digest", "doc_id").join(beside(first, 48), "digest")
     copies = copies.where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     labels = components(links.union(copies))
