@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from procrisk.llm import pieces, quality, secrets, setsketch, tiling
+from procrisk.llm.common import reachable
 from procrisk.llm.queries import vocabulary
 from procrisk.session import stage
 
@@ -26,11 +27,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    reachable(spark)
     return setsketch.keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
+    reachable(spark)
     return tiling.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -41,6 +44,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their piece ids, and whether these decode to the text."""
+    reachable(spark)
     model = pieces.load_pieces(vocabulary("piece_bpe_32k.model"))
     both = pieces.decode(pieces.encode(docs, model), model)
     same = F.col("decoded") == F.coalesce("text", F.lit(""))

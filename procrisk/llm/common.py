@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from procrisk.session import stage
@@ -15,6 +17,16 @@ SPLIT = r"[\x20\x09-\x0D]+"
 BROADCAST_BYTES = 48 << 20
 
 
+def reachable(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import the package wherever the driver was
+    started; on a cluster it is installed on the executors."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    held = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in held.split(os.pathsep):
+        joined = os.pathsep.join(p for p in (root, held) if p)
+        spark.sparkContext.environment["PYTHONPATH"] = joined
+
+
 def text_of(column: Column | str = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

@@ -19,11 +19,13 @@ from procrisk.llm import (
     toxicity,
     urls,
 )
+from procrisk.llm.common import reachable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
