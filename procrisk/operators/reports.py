@@ -78,7 +78,11 @@ def in_date_range(df: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Start dates from ``start`` to midnight of ``end``, both included."""
     # Literals of the column's own type, so that the filter reaches the scan.
     low, high = (F.lit(str(d)).cast("timestamp_ntz") for d in (start, end))
-    return df.where(F.col("lot_start_date").between(low, high))
+    rows = df.where(F.col("lot_start_date").between(low, high))
+    if "year" not in df.columns:
+        return rows
+    # The year of the same date: a table stored by years is read in part.
+    return rows.where(F.col("year").between(start.year, end.year))
 
 
 def in_categories(df: DataFrame, categories: list[str]) -> DataFrame:

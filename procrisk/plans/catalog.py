@@ -1138,8 +1138,27 @@ def facet_customers(spark, folder):
     return reports.facet_customers(testviews.featured(spark, folder))
 
 
+_ROWS_OF = "SELECT lot_id, risk_score, risk_category FROM featured WHERE "
+
+
+@query(
+    """SELECT CAST(4 AS BIGINT) AS files, true AS filled FROM (SELECT count(*) AS n FROM orders) WHERE n > 0"""
+)
+def stored_size(spark, folder):
+    """Files of a stored table, and whether they hold anything."""
+    path = fresh_path(spark, "sized")
+    tables.write_parquet(_read(spark, folder, "orders").repartition(4), path)
+    return quality.stored_size(spark, path).select("files", (F.col("bytes") > 0).alias("filled"))
+
+
+@query(oracle.over(oracle.FEATURED, _ROWS_OF + "CAST(customer_bin AS BIGINT) <= 3000"))
+def customer_filter_long(spark, folder):
+    wanted = [str(k) for k in range(3_001)]
+    return _kept(reports.of_customers(testviews.featured(spark, folder), wanted))
+
+
 _DATES = (dt.date(1995, 1, 1), dt.date(1996, 12, 31))
-_ROWS = "SELECT lot_id, risk_score, risk_category FROM featured WHERE "
+_ROWS = _ROWS_OF
 
 
 def _kept(df: DataFrame) -> DataFrame:

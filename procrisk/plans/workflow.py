@@ -36,10 +36,10 @@ def check_procurements(df: DataFrame) -> tuple[bool, DataFrame]:
 
 
 def build_featured(spark: SparkSession, folder: str, **limits) -> DataFrame:
-    """Adds the features to the stored join and stores the result."""
+    """Adds the features to the stored join and stores the result by years."""
     joined = read_parquet(spark, f"{folder}/procurements.parquet")
     path = f"{folder}/procurements_featured.parquet"
-    return spark.read.parquet(write_parquet(engineer_features(joined, **limits), path))
+    return spark.read.parquet(write_parquet(engineer_features(joined, **limits), path, partition_by=["year"]))
 
 
 def build_final(
@@ -49,5 +49,6 @@ def build_final(
     featured = read_parquet(spark, f"{folder}/procurements_featured.parquet")
     model = train(featured, key, fixed.MODEL_FEATURES, **options)
     save_model(spark, model, f"{folder}/model")
-    path = write_parquet(predict(featured, model), f"{folder}/procurements_final.parquet")
+    scored = predict(featured, model)
+    path = write_parquet(scored, f"{folder}/procurements_final.parquet", partition_by=["year"])
     return spark.read.parquet(path), model

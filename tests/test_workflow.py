@@ -1,11 +1,14 @@
 """Raw documents to final table, and every query against its SQL."""
 
+import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from procrisk.plans import testviews, workflow
+from procrisk.operators import reports
+from procrisk.plans import catalog, testviews, workflow
 from procrisk.sources import tables
 from tools.check import compare, connect
 
@@ -36,11 +39,21 @@ def test_entry(spark):
     assert found.count() == 1_473 and "color" in found.columns
 
 
-def test_every_sql_has_a_query():
+def test_every_query_has_sql():
+    assert set(catalog.QUERIES) == set(catalog.SQL)
+    assert set(catalog.QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {
-        "forest_nodes", "anomaly_scores", "model_round_trip", "batch_scoring",
-    }
+
+
+def test_date_ranges_read_some_years_only(spark, tmp_path):
+    rows = [(f"{y}-03-01 00:00:00", y) for y in (2019, 2020, 2021, 2022)]
+    df = spark.createDataFrame(rows, "t string, year int")
+    df = df.select(F.col("t").cast("timestamp_ntz").alias("lot_start_date"), "year")
+    path = tables.write_parquet(df, f"{tmp_path}/by_year.parquet", partition_by=["year"])
+    some = reports.in_date_range(spark.read.parquet(path), dt.date(2020, 1, 1), dt.date(2021, 3, 1))
+    assert sorted(r["year"] for r in some.collect()) == [2020, 2021]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
 
 
 @pytest.fixture(scope="module")
@@ -48,12 +61,11 @@ def duck(small):
     return connect(small)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, duck, small, name):
-    got = entry.queries()[name](spark, small).toPandas()
+    got = catalog.QUERIES[name](spark, small).toPandas()
     assert len(got)
-    if name in entry.oracle_sql():
-        assert compare(got, duck.execute(entry.oracle_sql()[name]).df()) is None
+    assert compare(got, duck.execute(catalog.SQL[name]).df()) is None
 
 
 def test_joined_counts(spark, small):
