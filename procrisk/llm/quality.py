@@ -49,8 +49,8 @@ class Rule:
 RULES = (
     Rule("symbol_ratio", True, 40_000, 6),
     Rule("line_ratio", True, 400_000, 6),
-    Rule("word_length", True, 1_800, 6),
-    Rule("word_length", False, 1_800, 6),
+    Rule("word_length", True, 2_500, 6),
+    Rule("word_length", False, 2_500, 6),
 )
 
 

@@ -423,3 +423,14 @@ def test_secrets(spark, docs, texts, odd, none):
     again = secrets.redact(odd)
     assert again.columns == odd.columns and again.count() == 13
     assert secrets.scan(none).isEmpty() and secrets.redact(none).isEmpty()
+
+
+# -- SQL ------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_queries_against_sql(spark, name):
+    from tools.check import compare, connect
+
+    got = queries.QUERIES[name](spark, SMALL).toPandas()
+    assert len(got) and compare(got, connect(SMALL).execute(queries.SQL[name]).df()) is None
