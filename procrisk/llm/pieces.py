@@ -31,7 +31,12 @@ from pyspark.sql.types import StructField, StructType
 MARK = "▁"
 #: How far an unknown character scores below the worst piece.
 UNKNOWN_PENALTY = 10.0
-_REMEMBERED = 250_000
+#: Parts that are remembered, characters of the longest, and parts segmented at once.
+_REMEMBERED = 200_000
+_SHORT = 64
+_TOGETHER = 20_000
+#: Texts that are cut into parts at once.
+_ROWS = 400
 _PARTS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -197,28 +202,122 @@ class Pieces:
         out.reverse()
         return out
 
+    def segment_many(self, parts: list[str]) -> list[bytes]:
+        """Ids of the best segmentation of each short part, as 32-bit arrays.
+
+        All parts are walked through the trie at once, one byte further in each step, which
+        gives the edges of their lattices; then the places of equal distance from the
+        beginning of their parts are settled at once, nearest first.
+        """
+        raws = [p.encode() for p in parts]
+        sizes = np.fromiter(map(len, raws), dtype=np.int64, count=len(raws))
+        begins = np.concatenate([[0], np.cumsum(sizes)])
+        text = np.frombuffer(b"".join(raws), dtype=np.uint8)
+        owner = np.repeat(np.arange(len(parts)), sizes)
+        start = np.flatnonzero((text & 0xC0) != 0x80)
+        first = text[start]
+        width = 1 + (first >= 0xC0).astype(np.int64) + (first >= 0xE0) + (first >= 0xF0)
+
+        base, check, value = self.trie.base, self.trie.check, self.trie.value
+        s, at, node = start, start, np.zeros(len(start), dtype=np.int64)
+        edges = []
+        while len(s):
+            child = base[node] + text[at].astype(np.int64) + 1
+            ok = check[child] == node
+            s, at, node = s[ok], at[ok] + 1, child[ok]
+            number = value[node]
+            hit = number >= 0
+            edges.append((s[hit], at[hit], number[hit]))
+            more = at < begins[owner[s] + 1]
+            s, at, node = s[more], at[more], node[more]
+        begin, end, piece = (np.concatenate(x) for x in zip(*edges, strict=True))
+        # A character that is no piece by itself is an edge of its own.
+        one = np.zeros(len(text) + 1, dtype=np.int64)
+        one[start] = start + width
+        alone = np.zeros(len(text) + 1, dtype=bool)
+        alone[begin[end == one[begin]]] = True
+        lost = ~alone[start]
+        begin = np.concatenate([begin, start[lost]])
+        end = np.concatenate([end, (start + width)[lost]])
+        piece = np.concatenate([piece, np.full(int(lost.sum()), -1, piece.dtype)])
+        if "_score_array" not in self.__dict__:
+            self._score_array = np.array([*self.scores, self.unknown_score])
+        score = self._score_array[piece]
+
+        part = owner[begin]
+        offset = begin - begins[part]
+        order = np.lexsort((end, offset))
+        groups = np.split(order, np.flatnonzero(np.diff(offset[order])) + 1)
+        # Every part has a place more than bytes, for its end.
+        tail, head = begin + part, end + part
+        best = np.full(len(text) + len(parts), -np.inf)
+        by = np.full(len(best), -1, dtype=np.int64)
+        zero = begins[:-1] + np.arange(len(parts))
+        best[zero] = 0.0
+        for edge in groups:
+            total = best[tail[edge]] + score[edge]
+            better = total > best[head[edge]]
+            edge = edge[better]
+            best[head[edge]] = total[better]
+            by[head[edge]] = edge
+
+        which, place = np.arange(len(parts)), begins[1:] + np.arange(len(parts))
+        found = []
+        while len(which):
+            edge = by[place]
+            found.append((which, piece[edge]))
+            place = tail[edge]
+            more = place != zero[which]
+            which, place = which[more], place[more]
+        step = np.repeat(np.arange(len(found)), [len(w) for w, _ in found])
+        which, ids = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((-step, which))
+        blob = ids[order].astype("<i4").tobytes()
+        cuts = (4 * np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(parts)))])).tolist()
+        out = [blob[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        for k in np.unique(which[ids < 0]).tolist():  # unknown characters become bytes
+            out[k] = np.array(self.segment(parts[k]), dtype="<i4").tobytes()
+        return out
+
+    def _learn(self, parts: set[str]) -> None:
+        """Remembers the segmentations of ``parts``, which are not remembered yet."""
+        short, known = [], self._known
+        for part in parts:
+            older = self._older.get(part)
+            if older is not None:
+                known[part] = older
+            elif len(part) <= _SHORT:
+                short.append(part)
+            else:
+                known[part] = np.array(self.segment(part), dtype="<i4").tobytes()
+        for k in range(0, len(short), _TOGETHER):
+            some = short[k : k + _TOGETHER]
+            known.update(zip(some, self.segment_many(some), strict=True))
+
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text."""
+        cut = []
+        for text in texts:
+            marked = text.replace(" ", MARK)
+            if self.dummy_prefix and text:
+                marked = MARK + marked
+            cut.append(_PARTS.findall(marked) if self.cut else [marked] if marked else [])
+        missing = set()
+        for parts in cut:
+            missing.update(parts)
+        missing -= self._known.keys()
+        if missing:
+            self._learn(missing)
+        get = self._known.__getitem__
+        out = [np.frombuffer(b"".join(map(get, parts)), dtype="<i4") for parts in cut]
+        for part in [p for p in missing if len(p) > _SHORT]:
+            del self._known[part]
+        if len(self._known) >= _REMEMBERED:  # drop the generation before this one
+            self._older, self._known = self._known, {}
+        return out
+
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, dtype=np.int32)
-        marked = text.replace(" ", MARK)
-        if self.dummy_prefix:
-            marked = MARK + marked
-        known = self._known
-        parts = _PARTS.findall(marked) if self.cut else [marked]
-        found = list(map(known.get, parts))
-        if None in found:
-            for k, f in enumerate(found):
-                if f is None:
-                    part = parts[k]
-                    f = known.get(part) or self._older.get(part)
-                    if f is None:
-                        f = np.array(self.segment(part), dtype="<i4").tobytes()
-                    if len(part) <= 64:
-                        known[part] = f
-                    found[k] = f
-            if len(known) >= _REMEMBERED:  # drop the generation before this one
-                self._older, self._known = known, {}
-        return np.frombuffer(b"".join(found), dtype="<i4")
+        return self.encode_many([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         if "_raw" not in self.__dict__:
@@ -268,7 +367,7 @@ def load_pieces(path: str, scores: str = "zipf") -> Pieces:
 
 
 def _with_column(
-    rows: DataFrame, source: str, name: str, kind: str, arrow: pa.DataType, value: Callable
+    rows: DataFrame, source: str, name: str, kind: str, values: Callable[[pa.Array], pa.Array]
 ) -> DataFrame:
     """``rows`` with a column computed from ``source`` by Arrow batches; an older column of
     that name is replaced, all others pass through untouched."""
@@ -276,10 +375,8 @@ def _with_column(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [value(v) for v in batch.column(source).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, arrow)], [*batch.schema.names, name]
-            )
+            found = values(batch.column(source))
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, name])
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields, *_fields(f"{name} {kind}")]))
 
@@ -291,16 +388,27 @@ def _fields(ddl: str) -> list[StructField]:
 def encode(docs: DataFrame, model: Pieces, column: str = "text") -> DataFrame:
     """``docs`` with ``piece_ids`` (array of int); null texts count as empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return _with_column(
-        docs, column, "piece_ids", "array<int>", pa.list_(pa.int32()),
-        lambda text: shared.value.encode(text or ""),
-    )
+
+    def values(texts: pa.Array) -> pa.Array:
+        ids, ends = [np.zeros(0, dtype=np.int32)], [0]
+        for k in range(0, len(texts), _ROWS):
+            found = shared.value.encode_many([t or "" for t in texts.slice(k, _ROWS).to_pylist()])
+            ends += (ends[-1] + np.cumsum([len(f) for f in found])).tolist()
+            ids.append(np.concatenate(found))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
+
+    return _with_column(docs, column, "piece_ids", "array<int>", values)
 
 
 def decode(encoded: DataFrame, model: Pieces, column: str = "piece_ids") -> DataFrame:
     """``encoded`` with ``decoded``, the text of the ids in ``column``; null has none."""
     shared = encoded.sparkSession.sparkContext.broadcast(model)
-    return _with_column(
-        encoded, column, "decoded", "string", pa.string(),
-        lambda ids: shared.value.decode(ids or []),
-    )
+
+    def values(rows: pa.Array) -> pa.Array:
+        ids, ends = rows.values.to_numpy(zero_copy_only=False), rows.offsets.to_numpy()
+        text = shared.value.decode
+        return pa.array(
+            [text(ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string()
+        )
+
+    return _with_column(encoded, column, "decoded", "string", values)
