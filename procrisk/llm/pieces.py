@@ -32,11 +32,11 @@ MARK = "▁"
 #: How far an unknown character scores below the worst piece.
 UNKNOWN_PENALTY = 10.0
 #: Parts that are remembered, characters of the longest, and parts segmented at once.
-_REMEMBERED = 200_000
+_REMEMBERED = 60_000
 _SHORT = 64
-_TOGETHER = 20_000
+_TOGETHER = 4_000
 #: Texts that are cut into parts at once.
-_ROWS = 400
+_ROWS = 200
 _PARTS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
