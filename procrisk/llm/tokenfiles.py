@@ -8,7 +8,8 @@ arrays of a bounded sample and stored beside the shards.
 
 Texts are cut at single spaces between two other characters, where the tokenizer's own
 pattern always starts a new word, and the ids of a piece are remembered, so that a frequent
-word is tokenised once per worker.
+word is tokenised once per worker. A special token of the vocabulary that a text spells out
+has its own id, as in the library's plain call.
 
 Defined cases: a null or empty text has the end id alone; rows are written in ascending
 doc_id (nulls first), rows of one doc_id by text; an empty table gives empty files.
@@ -76,7 +77,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(vocabulary)
-        self._tokenizer.encode_special_tokens = True
         self._model = self._tokenizer.model
         self._letters = _byte_letters()
         self._space = self._letters[32]

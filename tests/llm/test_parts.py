@@ -196,6 +196,23 @@ def test_encoder_equals_the_library():
             assert np.frombuffer(got, own.kind).tolist() == [*ref.ids, tokenfiles.END]
 
 
+def test_special_tokens_have_the_ids_of_the_plain_library_call():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, plain = tokenfiles.Encoder(path), Tokenizer.from_file(path)
+    mark = "<|endoftext|>"
+    texts = [
+        f"one {mark} two", mark, f" {mark} ", f"a{mark}b", f"a  {mark}  b", f"a \n{mark}\n b", f"end.{mark}",
+        f"{mark}{mark} x {mark}|>", f"({mark}) it's {mark}. No", "<|endoftext |> < |endoftext|>", f"é\t{mark} ß",
+    ]
+    for _ in range(2):
+        for got, text in zip(own.encode(texts), texts, strict=True):
+            want = plain.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(got, own.kind).tolist() == [*want, tokenfiles.END]
+    assert np.frombuffer(own.encode(texts[:1])[0], own.kind).tolist() == [505, 220, 50256, 734, tokenfiles.END]
+
+
 # -- secrets --------------------------------------------------------------------------
 
 SAMPLES = {
