@@ -36,9 +36,10 @@ LOW, MIDDLE, HIGH = 25, 50, 75
 @dataclass(frozen=True)
 class Rule:
     """Reject a text whose ``measure`` (a column, in millionths or thousandths) lies beyond
-    the median by more than ``spreads`` times the distance of median and far quartile, and
-    by ``slack`` at least. Only the quartile on the other side of the fence is used, which
-    up to half of bad texts on the fenced side cannot move."""
+    the median by more than ``spreads`` times the larger of the distances of median and
+    quartiles, and by ``slack`` at least. The quartile on the fence's own side lets a source
+    of which a quarter differs keep these texts; less than a quarter of bad ones cannot move
+    it."""
 
     measure: str
     upper: bool
@@ -198,11 +199,9 @@ def quartiles(sketches: DataFrame, by: tuple[str, ...]) -> DataFrame:
 
 
 def _fence(rule: Rule) -> Column:
-    if rule.upper:
-        spread = F.col("middle") - F.col("low")
-        return F.col("middle") + F.greatest(F.lit(rule.slack), spread * rule.spreads)
-    spread = F.col("high") - F.col("middle")
-    return F.col("middle") - F.greatest(F.lit(rule.slack), spread * rule.spreads)
+    spread = F.greatest(F.col("middle") - F.col("low"), F.col("high") - F.col("middle"))
+    reach = F.greatest(F.lit(rule.slack), spread * rule.spreads)
+    return F.col("middle") + reach if rule.upper else F.col("middle") - reach
 
 
 def thresholds(

@@ -329,6 +329,25 @@ def test_thresholds_follow_their_group(spark):
     assert kept == set(range(60)) | set(range(100, 160)) | {201}
 
 
+def test_a_large_minority_of_a_source_moves_its_fences(spark):
+    rng = random.Random(3)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    code = lambda: "\n".join(f"{words(8)} ##\nend\nend" for _ in range(10))
+    symbols = lambda: f"{words(30)} {'#' * 25}"
+    lines = lambda: "\n".join(f"{words(8)}\nend\nend" for _ in range(10))
+    rows = [(k, words(60), "en", "plain", 1) for k in range(55)]
+    rows += [(100 + k, words(60), "en", "mixed", 1) for k in range(55)]
+    rows += [(200 + k, code(), "en", "mixed", 1) for k in range(45)]
+    rows += [(300, symbols(), "en", "plain", 1), (301, lines(), "en", "plain", 1)]
+    rows += [(400, symbols(), "en", "mixed", 1), (401, lines(), "en", "mixed", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    fences = {r["source"]: r for r in quality.thresholds(quality.measures(df)).collect()}
+    for k in (0, 1):  # symbol_ratio, line_ratio
+        assert fences["plain"][f"fence_{k}"] == quality.RULES[k].slack < fences["mixed"][f"fence_{k}"]
+    kept = {r["doc_id"] for r in quality.judge(df).where("kept").collect()}
+    assert kept == {r[0] for r in rows} - {300, 301}
+
+
 # -- 9: urls --------------------------------------------------------------------------
 
 
