@@ -15,6 +15,10 @@ windows' length is reached. Suffixes are never sorted across shards. Neighbours
 interleave are compared to get their common prefixes; those of a window's length make the
 repeated intervals, whose rows are the windows that occur elsewhere.
 
+An anchor of more contexts than ``HOT`` is not merged, for all its contexts would meet in one
+task. Its windows are named by digests of 128 bits and meet by these, in the buckets of the
+digests; a batch settles its own equal windows and asks about one of each.
+
 Defined cases: a null text has no bytes; texts shorter than a window lose nothing; equal
 rows are elsewhere to each other, so both lose what they share; an empty table gives no rows.
 """
@@ -41,6 +45,8 @@ STRIDE = 8
 #: Bytes of contexts merged at once (more only where one anchor has more), shards of them.
 MERGED = 48 << 10
 SHARDS = 6
+#: Contexts of one anchor that are merged; of more, the windows' digests are compared.
+HOT = 2_000
 
 
 # -- Shards and their merge -----------------------------------------------------------
@@ -233,6 +239,105 @@ def _contexts(
     return windows.by_batch(rows, work)
 
 
+def hot_anchors(questions: DataFrame, hot: int) -> np.ndarray:
+    """Names of anchors with more than ``hot`` contexts, at most one per ``hot`` of these."""
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            names = np.frombuffer(b"".join(frame["name"]), "<u8")
+            kinds, n = np.unique(names, return_counts=True)
+            yield pd.DataFrame({"name": kinds.view(np.int64), "n": n})
+
+    names = questions.where(~F.col("known")).select("name")
+    found = names.mapInPandas(count, "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
+    rows = found.where(F.col("n") > hot).select("name").collect()
+    return np.array([r["name"] for r in rows], dtype=np.int64).view(np.uint64)
+
+
+def spread(questions: DataFrame, names: np.ndarray, buckets: int, width: int) -> DataFrame:
+    """``questions`` with the contexts of the anchors ``names`` replaced by questions about
+    their windows: without lengths, the halves of a digest in name and body."""
+    columns = [c.split()[0] for c in windows.QUESTIONS.split(", ")]
+
+    def of_row(row) -> Iterator[dict]:
+        name = np.frombuffer(row.name, "<u8")
+        hit = np.isin(name, names)
+        if row.known or not hit.any():
+            yield row._asdict()
+            return
+        owner, start = np.frombuffer(row.owner, "<u4"), np.frombuffer(row.start, "<i4")
+        length = np.frombuffer(row.length, "<i4")
+        ids, keys = np.frombuffer(row.ids, "<i8"), np.frombuffer(row.keys, "<i8")
+        whole = zstandard.ZstdDecompressor().decompress(row.body)
+        ends = np.cumsum(length.astype(np.int64) + width - 1)
+        begins = ends - length - (width - 1)
+        rest = np.flatnonzero(~hit)
+        if len(rest):
+            body = b"".join(whole[begins[k] : ends[k]] for k in rest)
+            yield row._asdict() | {
+                "owner": owner[rest].tobytes(),
+                "start": start[rest].tobytes(),
+                "length": length[rest].tobytes(),
+                "name": name[rest].tobytes(),
+                "body": zstandard.ZstdCompressor(level=1).compress(body),
+            }
+        at = np.flatnonzero(hit)
+        digests = b"".join(
+            hashlib.blake2b(whole[p : p + width], digest_size=16).digest()
+            for k in at
+            for p in range(begins[k], begins[k] + length[k])
+        )
+        pairs = np.frombuffer(digests, "<u8").reshape(-1, 2)
+        owner = np.repeat(owner[at], length[at])
+        start = np.concatenate([start[k] + np.arange(length[k], dtype=np.int32) for k in at])
+        _, first, which, count = np.unique(
+            pairs, axis=0, return_index=True, return_inverse=True, return_counts=True
+        )
+        known = (count >= 2)[which.reshape(-1)]
+        more = pairs[first, 1]
+        yield from windows.question_rows(
+            row.batch, buckets, ids, keys, owner[first], start[first], pairs[first, 0],
+            owner[known], start[known], body=lambda asked: more[asked].tobytes(),
+        )
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[dict] = []
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                held.extend(of_row(row))
+                if len(held) >= 1_000:
+                    yield pd.DataFrame(held, columns=columns)
+                    held = []
+        if held:
+            yield pd.DataFrame(held, columns=columns)
+
+    return questions.mapInPandas(run, windows.QUESTIONS)
+
+
+def _by_digest(rows: pd.DataFrame) -> list[tuple]:
+    """Answers to a bucket's questions about windows: those whose digest occurs twice."""
+    if not len(rows):
+        return []
+    name = np.frombuffer(b"".join(rows["name"]), "<u8")
+    more = np.frombuffer(b"".join(rows["body"]), "<u8")
+    order = np.lexsort((more, name))
+    a, b = order[:-1], order[1:]
+    same = (name[a] == name[b]) & (more[a] == more[b])
+    found = np.zeros(len(name), dtype=bool)
+    found[a[same]] = True
+    found[b[same]] = True
+    told, at = [], 0
+    for row in rows.itertuples(index=False):
+        owner, start = np.frombuffer(row.owner, "<u4"), np.frombuffer(row.start, "<i4")
+        hit = found[at : at + len(owner)]
+        at += len(owner)
+        if hit.any():
+            told.append(
+                (row.batch, row.ids, row.keys, owner[hit].tobytes(), start[hit].tobytes(), b"")
+            )
+    return told
+
+
 def _merged(rows: pd.DataFrame, width: int) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Of a bucket's questions: row, its owners, starts and lengths of repeated windows."""
     press = zstandard.ZstdDecompressor()
@@ -293,7 +398,10 @@ def _answer(questions: DataFrame, width: int) -> DataFrame:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         columns = [c.split()[0] for c in windows.ANSWERS.split(", ")]
         out = [rows.loc[rows["known"], columns]]
-        rows = rows[~rows["known"]].reset_index(drop=True)
+        rows = rows[~rows["known"]]
+        whole = rows["length"].map(len) > 0
+        out.append(pd.DataFrame(_by_digest(rows[~whole]), columns=columns))
+        rows = rows[whole].reset_index(drop=True)
         told = [
             (
                 rows["batch"][k], rows["ids"][k], rows["keys"][k],
@@ -307,21 +415,28 @@ def _answer(questions: DataFrame, width: int) -> DataFrame:
     return questions.groupBy("bucket").applyInPandas(run, windows.ANSWERS)
 
 
-def repeats(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
+def repeats(
+    docs: DataFrame, width: int = WIDTH, seed: int = SEED, hot: int = HOT
+) -> DataFrame:
     """Rows (_id, text_key, runs): runs of starts of repeated windows, of texts with any."""
     if width % STRIDE:
         raise ValueError(f"the width must be a multiple of {STRIDE}")
     buckets = windows.buckets_for(docs)
     seeds = stage(repeated_anchors(docs, buckets, width, seed), "byte-seeds")
     seeds = beside(seeds, 24, "runs")
-    asked = _contexts(docs, seeds, buckets, width, seed)
+    asked = stage(_contexts(docs, seeds, buckets, width, seed), "byte-contexts")
+    names = hot_anchors(asked, hot)
+    if len(names):
+        asked = spread(asked, names, buckets, width)
     return stage(windows.per_text(_answer(asked, width)), "byte-repeats")
 
 
-def dedup(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
+def dedup(
+    docs: DataFrame, width: int = WIDTH, seed: int = SEED, hot: int = HOT
+) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_bytes, n_removed, n_spans, ``kept`` (the
     remaining bytes) and kept_sha256."""
-    gone = beside(repeats(docs, width, seed), 24, "runs")
+    gone = beside(repeats(docs, width, seed, hot), 24, "runs")
     rows = windows.as_bytes(docs).join(gone, ["_id", "text_key"], "left")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -89,6 +89,29 @@ def test_suffix_dedup(spark, odd, none):
     assert removed[3] == removed[5] == removed[None] == 0 and removed[7] == 5_000
 
 
+def test_contexts_of_a_hot_anchor_are_not_merged_in_one_task(spark):
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    shared = word(500)
+    rows = [(k, word(rng.randrange(150, 320)) + shared[k % 3 :] + word(rng.randrange(150, 320))) for k in range(40)]
+    rows += [(100 + k, word(300) + rows[k][1][100:420]) for k in range(4)] + [(200, word(400)), (201, rows[5][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = _bytes_kept([(k, t.encode()) for k, t in rows])
+    for hot in (1, 8):
+        found = {r["doc_id"]: r for r in suffix.dedup(df, hot=hot).collect()}
+        assert {k: tuple(r[n] for n in ("n_bytes", "n_removed", "n_spans", "kept_sha256")) for k, r in found.items()} == want
+    seeds = suffix.repeated_anchors(df, 4, suffix.WIDTH, suffix.SEED)
+    asked = suffix._contexts(df, seeds, 4, suffix.WIDTH, suffix.SEED).cache()
+    names = suffix.hot_anchors(asked, 8)
+    assert len(names)
+
+    def largest(questions):
+        held = [r["name"] for r in questions.where("NOT known AND length(length) > 0").collect()]
+        return max(Counter(np.frombuffer(b"".join(held), "<u8").tolist()).values())
+
+    assert largest(suffix.spread(asked, names, 4, suffix.WIDTH)) <= 8 < largest(asked)
+
+
 # -- 2: windows of words that occur earlier -------------------------------------------
 
 
