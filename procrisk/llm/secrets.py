@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re._constants as rc
 import re._parser as rp
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
@@ -61,6 +61,19 @@ RULES = (
     Rule("stripe", r"[rs]k_live_[0-9A-Za-z]{16,}"),
 )
 
+#: What follows the first line of a private key: lines of its header, then base64 (line ends
+#: may be escaped) up to the last line, or without one the run of long base64 words.
+_KEY_INFO = r"(?:\s*\n[A-Za-z-]{1,30}:[^\n]{0,200}){0,8}"
+_KEY_BODY = (
+    r"(?:" + _KEY_INFO + r"(?:[\s\\]++[A-Za-z0-9+/=]++){0,500}[\s\\]*-----END [A-Z ]{0,30}PRIVATE KEY-----"
+    r"|" + _KEY_INFO + r"(?:[\s\\]++[A-Za-z0-9+/]{16,}+={0,2}+){1,500}"
+    r"(?:\s*\n[A-Za-z0-9+/]{1,63}={0,2}(?=\s*(?:\n|$)))?)?"
+)
+#: Rules whose spans ``redact`` replaces: a private key goes as a whole.
+REDACTED = tuple(
+    replace(r, pattern=r.pattern + _KEY_BODY) if r.kind == "private_key" else r for r in RULES
+)
+
 MARK = "[SECRET]"
 
 #: Strings kept while a pattern is analysed; more are replaced by "anything".
@@ -323,7 +336,7 @@ def written(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     )
 
 
-def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = MARK) -> DataFrame:
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = REDACTED, mark: str = MARK) -> DataFrame:
     """``docs`` with every span replaced by ``mark``; overlapping spans become one mark.
     ``n_chars``, where present, is counted anew for changed texts."""
     found = scan(docs, rules)

@@ -476,3 +476,28 @@ def test_queries_against_sql(spark, name):
 
     got = queries.QUERIES[name](spark, SMALL).toPandas()
     assert len(got) and compare(got, connect(SMALL).execute(queries.SQL[name]).df()) is None
+
+
+def test_redaction_takes_the_whole_private_key(spark):
+    rng = random.Random(8)
+    line = lambda n=64: "".join(rng.choices("ABCxyz019+/", k=n))
+    head, tail = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = "\n".join(line() for _ in range(25)) + "\n" + line(9) + "=="
+    long = "\n".join(line() for _ in range(200))
+    info = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n"
+    keys = {
+        1: f"{head}\n{body}\n{tail}",
+        2: f"{head}\r\n{body}\r\n{tail}",
+        3: f"{head}\n{info}\n{body}\n{tail}",
+        4: f"{head}\\n{line()}\\n{line(20)}=\\n{tail}",
+        5: f"{head}\n{body}",
+        6: head,
+        7: f"{head} {line()} {line()} {tail}",
+        8: f"{head}\n{long}\n{tail}",
+    }
+    rows = [(k, f"before {key}\nsome words after it.", 1) for k, key in keys.items()]
+    rows += [(9, f"{keys[1]}\nbetween the two\n{keys[3]}", 1), (10, "no key at all", 1)]
+    found = secrets.redact(spark.createDataFrame(rows, "doc_id long, text string, n_chars long"))
+    want = {k: "before [SECRET]\nsome words after it." for k in keys}
+    want |= {9: "[SECRET]\nbetween the two\n[SECRET]", 10: "no key at all"}
+    assert {r["doc_id"]: r["text"] for r in found.collect()} == want
