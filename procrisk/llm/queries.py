@@ -18,6 +18,7 @@ from procrisk.llm import (
     tokenfiles,
     toxicity,
     urls,
+    variants,
 )
 from procrisk.llm.common import reachable
 
@@ -255,6 +256,11 @@ def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return setsketch.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Frequent near word and root of every word of at least seven letters."""
+    return variants.spelling_variants(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -266,6 +272,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filter": op9_url_filter,
     "op10_secret_scan": op10_secret_scan,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 SQL: dict[str, str] = {
