@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from procrisk.llm import (
+    alignment,
     pieces,
     quality,
     secrets,
@@ -256,6 +257,15 @@ def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return setsketch.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links between two tokenisers' ids of every text."""
+    return alignment.alignments(
+        _table(spark, folder, "documents"),
+        vocabulary("byte_bpe_50k.json"),
+        vocabulary("piece_bpe_32k.model"),
+    )
+
+
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     """Frequent near word and root of every word of at least seven letters."""
     return variants.spelling_variants(_table(spark, folder, "documents"))
@@ -272,6 +282,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filter": op9_url_filter,
     "op10_secret_scan": op10_secret_scan,
+    "op12_token_alignment": op12_token_alignment,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
