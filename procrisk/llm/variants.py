@@ -47,7 +47,7 @@ ACCENTED = "".join(map(chr, range(0xC0, 0x100)))
 GROUPS = (*"einatrsolduc", "mp", "hgf", "bvyq", "jkwxz", ACCENTED)
 #: Words of a shard, searches of a task, and nodes above the shards as a share of all words.
 SHARD_WORDS = (4_000, 50_000)
-TASK_SEARCHES = 200_000
+TASK_SEARCHES = 40_000
 TOP_NODES = 10_000
 #: States of a search block, pairs compared at once, and the width of the letter matrix.
 STATES, PAIRS, WIDTH = 1 << 16, 1 << 17, 32
