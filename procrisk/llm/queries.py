@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from procrisk.llm import (
     alignment,
+    chat,
     pieces,
     quality,
     secrets,
@@ -22,6 +23,7 @@ from procrisk.llm import (
     variants,
 )
 from procrisk.llm.common import reachable
+from procrisk.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -257,6 +259,40 @@ def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return setsketch.near_duplicates(_table(spark, folder, "documents"))
 
 
+_ODD_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op11_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns and masked texts of every conversation, read back from its formatted text."""
+    conversations = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.range(1).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.inline(F.array(*[
+            F.struct(F.lit(k).cast("long").alias("turn"), F.lit(role).alias("role"), F.lit(_ODD_TEXT).alias("text"))
+            for k, role in enumerate(("user", "assistant"))
+        ])),
+    )
+    formatted = stage(chat.format_conversations(conversations.unionByName(odd)), "formatted")
+    return chat.read_back(formatted)
+
+
+CHAT_SQL = rf"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{_ODD_TEXT}' UNION ALL SELECT -7, 1, 'assistant', '{_ODD_TEXT}'),
+said AS (
+  SELECT *, length(regexp_replace(text, '(\\|</turn>|###)', '\\\1', 'g')) AS chars,
+    length(regexp_replace(role, '(\\|</turn>|###|:)', '\\\1', 'g')) AS role_chars
+  FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+    AS loss_sha256,
+  CAST(sum(role_chars + chars + {len("### ") + len(": ") + len("</turn>") + 1}) AS BIGINT) AS formatted_chars
+FROM said GROUP BY conv_id"""
+
+
 def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """Groups and links between two tokenisers' ids of every text."""
     return alignment.alignments(
@@ -282,11 +318,13 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filter": op9_url_filter,
     "op10_secret_scan": op10_secret_scan,
+    "op11_chat_format": op11_chat_format,
     "op12_token_alignment": op12_token_alignment,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
 SQL: dict[str, str] = {
     "op10_secret_scan": SECRETS_SQL,
+    "op11_chat_format": CHAT_SQL,
     "op8_quality_rules": QUALITY_SQL,
 }
