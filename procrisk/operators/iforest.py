@@ -62,21 +62,25 @@ def tree_samples(
     max_samples: int = fixed.MAX_SAMPLES,
     seed: int = fixed.SEED,
     widen: int = 1,
+    draw_by: list[str] | None = None,
 ) -> DataFrame:
     """``tree_id``, ``draw`` and the features of the sampled rows of every tree.
 
-    Rows are drawn by hashes of ``key`` and features, so partitioning and row order do not
-    matter, and rows that share a key are drawn apart; equal rows count once. One hash per
-    row picks the pool; only the pool meets all the trees.
+    Rows are drawn by hashes of ``key`` and ``draw_by`` (the features unless given), so
+    partitioning and row order do not matter as long as these columns hold stored values:
+    pass the raw columns where the features are computed from sums. Rows that share a key
+    are drawn apart; equal rows count once. One hash per row picks the pool; only the pool
+    meets all the trees, and Spark keeps the rows of least hash per tree before it shuffles
+    them (``WindowGroupLimit``).
     """
-    row = list(dict.fromkeys([*key, *features]))
+    row = list(dict.fromkeys([*key, *(draw_by or features)]))
     wanted = min(max_samples, rows)
     share = min(1.0, widen * _POOL_FACTOR * trees * wanted / rows)
     per_tree = min(1.0, widen * 2 * wanted / (share * rows))
     pool = (
-        df.select(*row)
+        df.select(*dict.fromkeys([*row, *features]))
         .where(_unit(F.xxhash64(*row, F.lit(seed))) < share)
-        .distinct()
+        .dropDuplicates(row)
     )
     draws = (
         pool.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
@@ -139,8 +143,9 @@ def fit_forest(
     contamination: float = fixed.CONTAMINATION,
     seed: int = fixed.SEED,
     exact_offset: bool = True,
+    draw_by: list[str] | None = None,
 ) -> Forest:
-    """Grows the forest and sets its offset to the ``contamination`` quantile of the
+    """Grows the forest from samples (``tree_samples``) and sets its offset to the ``contamination`` quantile of the
     training scores; ``exact_offset=False`` estimates that quantile in one pass."""
     rows = df.count() if rows is None else rows
     if not rows:
@@ -148,7 +153,8 @@ def fit_forest(
     wanted, widen = min(max_samples, rows), 1
     while True:
         samples = tree_samples(
-            df, features, key, rows, trees=trees, max_samples=max_samples, seed=seed, widen=widen
+            df, features, key, rows, trees=trees, max_samples=max_samples, seed=seed, widen=widen,
+            draw_by=draw_by,
         )
         nodes = grow_trees(samples, features, max_samples, seed).toPandas()
         roots = nodes.loc[nodes["node_id"] == 0, "size"]

@@ -103,13 +103,15 @@ def train(
     max_samples: int = fixed.MAX_SAMPLES,
     exact_offset: bool = True,
 ) -> AnomalyModel:
-    """Fits preparation and forest. ``key`` must identify a row."""
+    """Fits preparation and forest. ``key`` must identify a row. Rows are drawn by their raw
+    values, so the same seed gives the same forest under any partitioning."""
     preparation, rows = prepare(df, select_features(df, features))
     scaled = standardise(df, preparation, _PREFIX)
     names = [_PREFIX + f for f in preparation.features]
     forest = fit_forest(
-        scaled.select(*key, *names), names, key, rows=rows, trees=trees, max_samples=max_samples,
-        contamination=contamination, seed=seed, exact_offset=exact_offset,
+        scaled.select(*dict.fromkeys([*key, *preparation.features, *names])), names, key, rows=rows,
+        trees=trees, max_samples=max_samples, contamination=contamination, seed=seed,
+        exact_offset=exact_offset, draw_by=preparation.features,
     )
     return AnomalyModel(preparation, forest)
 
