@@ -1,13 +1,17 @@
-"""Exact quantiles per group, for groups of any size.
+"""Quantiles per group: exact for groups of any size, or from mergeable sketches.
 
-The built-in exact ``median`` / ``percentile`` keep the distinct values of a group in
-one buffer. Here that is done only for groups up to ``hot_rows`` rows. A larger group
-is narrowed down: count its values per coarse magnitude bucket, keep the bucket that
-holds the wanted rank, count that one per fine bucket, and only then per value. Each
-step aggregates on (group, bucket), so no task ever holds such a group.
+``group_quantile`` and ``group_median_mad`` reduce the rows to counted values in one scan and
+store these. Groups of up to ``hot_rows`` different values use the built-in exact percentile.
+Larger ones are narrowed together: a sketch of a group's values cuts it into slices, one
+aggregation counts the rows of each, and only the slices that hold the wanted ranks are kept
+and stored, until they are small. Every round leaves about a thirtieth, reads what the round
+before stored, and shuffles slice counts only.
 
-Calling these functions runs one counting job to find the large groups. Their list is
-stored, and broadcast only while it is small.
+``column_quantiles`` brackets the rank of every column by a quantile sketch in one scan of
+the source; a second one counts the rows below each bracket and keeps its values. A sketch
+that misses its rank is seen by the counts, and that column's bracket is opened wide.
+
+``sketch_median_mad`` stores a mergeable sketch per group instead, with a stated rank error.
 """
 
 from __future__ import annotations
@@ -15,18 +19,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from procrisk.operators.skew import BROADCAST_BYTES, running_total, size_of
+from procrisk.operators.skew import BROADCAST_BYTES, attach, running_total, size_of
 from procrisk.session import stage
 
-# Largest group whose distinct values may sit in one aggregation buffer.
+# Largest number of different values of a group that one task may hold.
 HOT_ROWS = 250_000
+# Slices of a round, and the accuracy of the sketches that cut them or bracket a rank.
+SLICES, ACCURACY = 64, 10_000
+# Size of a stored sketch, and its rank error as a share of the group's rows.
+SKETCH_K = 800
 
 _VALUE, _COUNT, _ROWS = "__value", "__count", "__rows"
-_COARSE, _FINE = "__coarse", "__fine"
-_RANK, _SIDE, _UPTO = "__rank", "__side", "__upto"
-_LARGEST = 1.7976931348623157e308
-_STEPS_PER_E = 64
-_SHIFT = 48_000  # above 64 * 745, so that magnitudes below one stay positive
+_LOW, _HIGH, _UPTO, _SLICE = "__low_rank", "__high_rank", "__upto", "__slice"
+_FIRST, _LAST = "__first", "__last"
 
 
 def group_quantile(
@@ -36,15 +41,10 @@ def group_quantile(
     q: float = 0.5,
     *,
     name: str = "quantile",
-    count_values: bool = True,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``keys``, ``n`` (values that are not NULL or NaN) and the linear ``q`` quantile.
-
-    ``count_values`` first reduces the rows to (key, value, count); leave it off when
-    values rarely repeat and rescanning the rows is cheap.
-    """
-    points = _points(df, keys, value, count_values)
+    """``keys``, ``n`` (values that are not NULL or NaN) and the linear ``q`` quantile."""
+    points = stage(_points(df, keys, value), "group-values")
     hot = _hot(points, keys, hot_rows)
 
     def direct(part: DataFrame) -> DataFrame:
@@ -54,10 +54,7 @@ def group_quantile(
 
     if hot is None:
         return direct(points)
-    large = _of(points, hot, keys)
-    if count_values:
-        large = stage(large, "hot-values")
-    many = _narrow(large, hot, keys, q).select(
+    many = _narrow(_of(points, hot, keys), hot, keys, q, hot_rows).select(
         *keys, F.col(_ROWS).alias("n"), F.col(_VALUE).alias(name)
     )
     return direct(_not_of(points, hot, keys)).unionByName(many)
@@ -71,7 +68,7 @@ def group_median_mad(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``keys``, ``n``, ``median`` and ``mad`` (median absolute deviation) per group."""
-    points = _points(df, keys, value, True)
+    points = stage(_points(df, keys, value), "group-values")
     hot = _hot(points, keys, hot_rows)
 
     def direct(part: DataFrame) -> DataFrame:
@@ -92,14 +89,16 @@ def group_median_mad(
 
     if hot is None:
         return direct(points)
-    large = stage(_of(points, hot, keys), "hot-values")
+    large = _of(points, hot, keys)
     centre = stage(
-        _narrow(large, hot, keys, 0.5).select(*keys, F.col(_VALUE).alias("median")), "hot-medians"
+        _narrow(large, hot, keys, 0.5, hot_rows).select(*keys, F.col(_VALUE).alias("median")),
+        "hot-medians",
     )
     off = large.join(_sized(centre), keys).withColumn(
         _VALUE, F.abs(F.col(_VALUE) - F.col("median"))
     )
-    spread = _narrow(off, hot, keys, 0.5).withColumnsRenamed({_ROWS: "n", _VALUE: "mad"})
+    off = off.groupBy(*keys, _VALUE).agg(F.sum(_COUNT).alias(_COUNT))
+    spread = _narrow(off, hot, keys, 0.5, hot_rows).withColumnsRenamed({_ROWS: "n", _VALUE: "mad"})
     many = spread.join(_sized(centre), keys).select(*keys, "n", "median", "mad")
     return direct(_not_of(points, hot, keys)).unionByName(many)
 
@@ -111,31 +110,98 @@ def column_quantiles(
     *,
     name: str = "quantile",
     hot_rows: int = HOT_ROWS,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """One row per column: ``feature``, ``n`` and its quantile over the whole table."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], columns, "feature", "value"
+    """One row per column with values: ``feature``, ``n`` and its quantile over the whole
+    table, in two scans of ``df`` for any number of columns."""
+    clean = df.select(*[_clean(c).alias(c) for c in columns])
+    ends = F.array(*[F.lit(min(max(q + side * 2 / accuracy, 0.0), 1.0)) for side in (-1, 1)])
+    sketched = clean.agg(
+        *[
+            F.struct(F.count(c).alias("n"), F.percentile_approx(c, ends, accuracy).alias("ends")).alias(c)
+            for c in columns
+        ]
+    ).first()
+    rows = {c: sketched[c]["n"] for c in columns if sketched[c]["n"]}
+    if not rows:
+        return df.sparkSession.createDataFrame([], f"feature string, n long, {name} double")
+    brackets = {c: tuple(sketched[c]["ends"]) for c in rows}
+    ranks = {c: _ranks(n, q) for c, n in rows.items()}
+    inside, below = _bracketed(clean, brackets)
+    missed = [
+        c for c in rows
+        if not below[c][0] <= ranks[c][0] or not ranks[c][1] < below[c][0] + below[c][1]
+    ]
+    if missed:
+        wide = (-float("inf"), float("inf"))
+        inside, below = _bracketed(clean, brackets | dict.fromkeys(missed, wide))
+    spark = df.sparkSession
+    wanted = spark.createDataFrame(
+        [(c, rows[c], ranks[c][0] - below[c][0], ranks[c][1] - below[c][0], ranks[c][2]) for c in rows],
+        f"feature string, n long, {_LOW} long, {_HIGH} long, __share double",
     )
-    return group_quantile(
-        long, ["feature"], "value", q, name=name, count_values=False, hot_rows=hot_rows
+    found = _pick(inside, wanted.select("feature", _LOW, _HIGH), ["feature"], hot_rows)
+    return found.join(F.broadcast(wanted), "feature").select(
+        "feature", "n", _between(F.col("__share")).alias(name)
     )
 
 
-def _points(df: DataFrame, keys: list[str], value: str, count_values: bool) -> DataFrame:
-    rows = (
-        df.select(*keys, F.col(value).cast("double").alias(_VALUE))
-        .dropna(subset=keys)
-        .where(F.col(_VALUE).isNotNull() & ~F.isnan(_VALUE))
+def sketch_median_mad(
+    df: DataFrame, keys: list[str], value: str, *, k: int = SKETCH_K, **options
+) -> DataFrame:
+    """As ``group_median_mad``, but from a sketch per group and a second one of the distances
+    from its median. Both are values of the data whose ranks are off by at most
+    ``sketch_error(k)`` of the group's rows, in all but one case of a hundred."""
+    usable = df.select(*keys, _clean(value).alias(_VALUE)).dropna()
+    first = stage(
+        usable.groupBy(*keys).agg(F.kll_sketch_agg_double(_VALUE, F.lit(k)).alias("sketch")),
+        "value-sketches",
     )
-    if count_values:
-        return rows.groupBy(*keys, _VALUE).agg(F.count("*").alias(_COUNT))
-    return rows.withColumn(_COUNT, F.lit(1).cast("long"))
+    centre = stage(
+        first.select(
+            *keys,
+            F.kll_sketch_get_n_double("sketch").alias("n"),
+            F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)).alias("median"),
+        ),
+        "sketched-medians",
+    )
+    off = attach(usable, centre, keys, "inner", **options)
+    off = off.withColumn(_VALUE, F.abs(F.col(_VALUE) - F.col("median")))
+    second = off.groupBy(*keys).agg(
+        F.first("n").alias("n"),
+        F.first("median").alias("median"),
+        F.kll_sketch_agg_double(_VALUE, F.lit(k)).alias("sketch"),
+    )
+    mad = F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)).alias("mad")
+    return second.select(*keys, "n", "median", mad)
+
+
+def sketch_error(k: int = SKETCH_K) -> float:
+    """Rank error of a sketch of size ``k`` (published fit of the KLL sketch, 99 of 100)."""
+    return 2.296 / k**0.9021
+
+
+def _ranks(n: int, q: float) -> tuple[int, int, float]:
+    """The two ranks (from 0) between which the quantile lies, and the share of the second."""
+    place = (n - 1) * q
+    low = int(place)
+    return low, min(low + (place > low), n - 1), place - low
+
+
+def _clean(column: str) -> Column:
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def _points(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    rows = df.select(*keys, _clean(value).alias(_VALUE)).dropna()
+    return rows.groupBy(*keys, _VALUE).agg(F.count("*").alias(_COUNT))
 
 
 def _hot(points: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    """All groups above ``hot_rows``, stored; None when there are none."""
-    sizes = points.groupBy(*keys).agg(F.sum(_COUNT).alias(_ROWS))
-    found = stage(sizes.where(F.col(_ROWS) > hot_rows), "large-groups")
+    """All groups of more than ``hot_rows`` values, with their rows, stored; None without any."""
+    sizes = points.groupBy(*keys).agg(F.sum(_COUNT).alias(_ROWS), F.count("*").alias("__values"))
+    found = stage(sizes.where(F.col("__values") > hot_rows).drop("__values"), "large-groups")
     return None if found.isEmpty() else _sized(found)
 
 
@@ -152,45 +218,97 @@ def _not_of(points: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     return points.join(hot.select(*keys), keys, "left_anti")
 
 
-def _narrow(points: DataFrame, hot: DataFrame, keys: list[str], q: float) -> DataFrame:
-    """``keys``, rows and ``q`` quantile of each group in ``hot``, from its points."""
+def _narrow(points: DataFrame, hot: DataFrame, keys: list[str], q: float, hot_rows: int) -> DataFrame:
+    """``keys``, rows and ``q`` quantile of each group in ``hot``, from its counted values."""
     place = (F.col(_ROWS) - 1) * F.lit(q)
-    wanted = hot.select(
-        *keys,
-        F.posexplode(F.array(F.floor(place), F.ceil(place))).alias(_SIDE, _RANK),
-    )
-    rows = points.select(*keys, _VALUE, _COUNT).withColumn(_COARSE, _coarse(F.col(_VALUE)))
-    rows = rows.withColumn(_FINE, _fine(F.col(_VALUE), F.col(_COARSE)))
-    path = list(keys)
-    for step in (_COARSE, _FINE, _VALUE):
+    ranked = hot.select(*keys, F.floor(place).alias(_LOW), F.ceil(place).alias(_HIGH))
+    found = _pick(points, ranked, keys, hot_rows)
+    return found.join(hot, keys).select(*keys, _ROWS, _between(place - F.floor(place)).alias(_VALUE))
+
+
+def _between(share: Column) -> Column:
+    """Linear interpolation of the values at both ranks."""
+    low, high = F.col(_FIRST), F.col(_LAST)
+    return F.when(low == high, low).otherwise((1 - share) * low + share * high)
+
+
+def _pick(points: DataFrame, ranked: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """``keys`` and the values at the two ranks of each group in ``ranked``, from points that
+    name each value of a group once."""
+    part = points.select(*keys, _VALUE, _COUNT)
+    cuts, most = F.array(*[F.lit(k / SLICES) for k in range(1, SLICES)]), 0
+    while True:
+        sketched = part.groupBy(*keys).agg(
+            F.count("*").alias("__values"), F.percentile_approx(_VALUE, cuts, 1_000).alias("__cuts")
+        )
+        wide = stage(sketched.where(F.col("__values") > max(hot_rows, 2)), "value-slices")
+        groups = wide.count()
+        if not groups:
+            break
+
+        most = max(most, groups)  # all groups are wide in the first round
+
+        def by_group(table: DataFrame, small: bool = most * SLICES * 16 <= BROADCAST_BYTES) -> DataFrame:
+            return F.broadcast(table) if small else table
+
+        below = F.filter("__cuts", lambda cut: cut < F.col(_VALUE))
+        sliced = part.join(by_group(wide), keys, "left").withColumn(
+            _SLICE, F.when(F.col("__cuts").isNull(), 0).otherwise(F.size(below))
+        )
         counts = (
-            rows.join(wanted, path)
-            .groupBy(*path, _SIDE, _RANK, step)
-            .agg(F.sum(_COUNT).alias(_COUNT))
-            .withColumn(_UPTO, running_total(_COUNT, [*path, _SIDE], [step]))
+            sliced.groupBy(*keys, _SLICE).agg(F.sum(_COUNT).alias(_COUNT))
+            .withColumn(_UPTO, running_total(_COUNT, keys, [_SLICE]))
+            .join(ranked, keys)
         )
         before = F.col(_UPTO) - F.col(_COUNT)
-        wanted = counts.where((F.col(_RANK) >= before) & (F.col(_RANK) < F.col(_UPTO))).select(
-            *path, step, _SIDE, (F.col(_RANK) - before).alias(_RANK)
+        kept = counts.where((F.col(_HIGH) >= before) & (F.col(_LOW) < F.col(_UPTO)))
+        kept = stage(
+            kept.groupBy(*keys).agg(
+                F.min(_SLICE).alias("__from"), F.max(_SLICE).alias("__to"),
+                F.min(F.col(_LOW)).alias(_LOW), F.min(F.col(_HIGH)).alias(_HIGH),
+                F.min(before).alias("__before"),
+            ),
+            "kept-slices",
+        )
+        # Groups that are small already stay whole: all of their rows are in slice 0.
+        inner = sliced.join(by_group(kept.select(*keys, "__from", "__to")), keys).where(
+            F.col(_SLICE).between(F.col("__from"), F.col("__to"))
         )
-        path.append(step)
-    ends = wanted.groupBy(*keys).agg(F.min(_VALUE).alias("__low"), F.max(_VALUE).alias("__high"))
-    share = place - F.floor(place)
-    between = (1 - share) * F.col("__low") + share * F.col("__high")
-    same = F.col("__low") == F.col("__high")
-    return ends.join(hot, keys).select(
-        *keys, _ROWS, F.when(same, F.col("__low")).otherwise(between).alias(_VALUE)
+        part = stage(inner.select(*keys, _VALUE, _COUNT), "kept-values")
+        ranked = kept.select(
+            *keys,
+            (F.col(_LOW) - F.col("__before")).alias(_LOW),
+            (F.col(_HIGH) - F.col("__before")).alias(_HIGH),
+        )
+    placed = part.withColumn(_UPTO, running_total(_COUNT, keys, [_VALUE])).join(ranked, keys)
+    return placed.groupBy(*keys).agg(
+        F.min(F.when(F.col(_UPTO) > F.col(_LOW), F.col(_VALUE))).alias(_FIRST),
+        F.min(F.when(F.col(_UPTO) > F.col(_HIGH), F.col(_VALUE))).alias(_LAST),
     )
 
 
-def _coarse(x: Column) -> Column:
-    """Magnitude bucket, 1/64 of a power of e wide; never decreases as ``x`` grows."""
-    size = F.floor(F.ln(F.least(F.abs(x), F.lit(_LARGEST))) * _STEPS_PER_E) + _SHIFT
-    return F.when(x == 0, F.lit(0)).otherwise(F.signum(x) * size).cast("long")
-
-
-def _fine(x: Column, coarse: Column) -> Column:
-    """Linear subdivision of a coarse bucket; never decreases as ``x`` grows in it."""
-    base = F.exp((F.abs(coarse) - _SHIFT) / _STEPS_PER_E)
-    part = F.floor((F.least(F.abs(x), F.lit(_LARGEST)) / base - 1) * 1_048_576)
-    return F.when(x == 0, F.lit(0)).otherwise(F.signum(x) * part).cast("long")
+def _bracketed(
+    clean: DataFrame, brackets: dict[str, tuple[float, float]]
+) -> tuple[DataFrame, dict[str, tuple[int, int]]]:
+    """The counted values inside each column's bracket, and the rows below and inside it, in
+    one scan."""
+    cells = [
+        F.struct(
+            F.lit(c).alias("feature"),
+            (F.col(c) < low).alias("below"),
+            F.when(F.col(c) >= low, F.col(c)).alias(_VALUE),
+            (F.col(c) <= high).alias("near"),
+        )
+        for c, (low, high) in brackets.items()
+    ]
+    counted = stage(
+        clean.select(F.inline(F.array(*cells))).where("near")
+        .groupBy("feature", "below", _VALUE).agg(F.count("*").alias(_COUNT)),
+        "bracket-values",
+    )
+    sums = counted.groupBy("feature").agg(
+        F.coalesce(F.sum(F.when(F.col("below"), F.col(_COUNT))), F.lit(0)).alias("b"),
+        F.coalesce(F.sum(F.when(~F.col("below"), F.col(_COUNT))), F.lit(0)).alias("i"),
+    )
+    found = {r["feature"]: (r["b"], r["i"]) for r in sums.collect()}  # one row per column
+    return counted.where(~F.col("below")).drop("below"), {c: found.get(c, (0, 0)) for c in brackets}

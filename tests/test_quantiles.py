@@ -5,7 +5,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from procrisk.operators import quantiles
 from procrisk.operators.quantiles import column_quantiles, group_median_mad, group_quantile
+from procrisk.session import stage
 
 
 def mad(values):
@@ -70,3 +72,74 @@ def test_any_values(spark, values):
     df = spark.createDataFrame([("g", v) for v in values], "g string, v double")
     row = group_quantile(df, ["g"], "v", 0.5, hot_rows=0).first()
     assert row["quantile"] == pytest.approx(float(np.median(values)), rel=1e-9, abs=1e-300)
+
+
+def test_narrowing_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "SLICES", 4)
+    rng = np.random.default_rng(5)
+    values = {g: rng.lognormal(size=n).round(3) for g, n in (("a", 3_000), ("b", 900))}
+    rows = [(g, float(v)) for g, all_values in values.items() for v in all_values]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(3)
+    for q in (0.01, 0.5, 0.99):
+        got = {r["g"]: r["quantile"] for r in group_quantile(df, ["g"], "v", q, hot_rows=5).collect()}
+        assert got == {g: pytest.approx(float(np.quantile(v, q)), rel=1e-12) for g, v in values.items()}
+
+
+def scans(spark, path, run):
+    """File scans of ``path`` in all plans that ``run`` executes, by the files' last access."""
+    source = spark.read.parquet(path)
+    counter = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        counter.add(1)
+        yield from batches
+
+    run(source.coalesce(1).mapInArrow(count, source.schema))
+    return counter.value
+
+
+def test_two_scans_for_any_columns(spark):
+    rng = np.random.default_rng(6)
+    data = [tuple(map(float, row)) for row in rng.normal(size=(5_000, 6))]
+    names = list("abcdef")
+    path_of = stage(spark.createDataFrame(data, ", ".join(f"{c} double" for c in names)), "scans")
+    path = path_of.inputFiles()[0].rsplit("/", 1)[0]
+    found = {}
+
+    def run(df):
+        rows = column_quantiles(df, names, 0.3, hot_rows=10, accuracy=200).collect()
+        found.update({r["feature"]: r["quantile"] for r in rows})
+
+    assert scans(spark, path, run) <= 2
+    for c, values in zip(names, zip(*data, strict=True), strict=True):
+        assert found[c] == pytest.approx(float(np.quantile(values, 0.3)), rel=1e-12)
+
+
+def test_a_missed_bracket_is_opened(spark, monkeypatch):
+    real = quantiles._bracketed
+    calls = []
+
+    def wrong(clean, brackets):
+        calls.append(brackets)
+        if len(calls) == 1:
+            brackets = {c: (1e9, 2e9) for c in brackets}
+        return real(clean, brackets)
+
+    monkeypatch.setattr(quantiles, "_bracketed", wrong)
+    df = spark.createDataFrame([(float(k),) for k in range(101)], "v double")
+    assert column_quantiles(df, ["v"], 0.5).first()["quantile"] == 50.0
+    assert len(calls) == 2
+
+
+def test_sketched_median_and_mad(spark):
+    rng = np.random.default_rng(7)
+    values = {g: rng.lognormal(size=n) for g, n in (("a", 30_000), ("b", 40))}
+    rows = [(g, float(v)) for g, all_values in values.items() for v in all_values]
+    df = spark.createDataFrame([*rows, ("a", None), (None, 1.0), ("b", float("nan"))], "g string, v double")
+    got = {r["g"]: r for r in quantiles.sketch_median_mad(df.repartition(5), ["g"], "v").collect()}
+    assert set(got) == set(values)
+    error = 2 * quantiles.sketch_error()
+    for g, v in values.items():
+        assert got[g]["n"] == len(v)
+        for x, of in ((got[g]["median"], v), (got[g]["mad"], np.abs(v - got[g]["median"]))):
+            assert (of < x).mean() - error <= 0.5 <= (of <= x).mean() + error
