@@ -14,9 +14,9 @@ from procrisk import fixed
 from procrisk.functions import risk
 from procrisk.functions.logic import all_of
 from procrisk.functions.time import DAY, micros_between, micros_of, start_of_slice
-from procrisk.operators.quantiles import group_median_mad
-from procrisk.operators.skew import attach, skew_join
-from procrisk.session import stage
+from procrisk.operators.quantiles import HOT_ROWS, SKETCH_K, group_median_mad, sketch_median_mad
+from procrisk.operators.skew import BROADCAST_BYTES, attach, skew_join
+from procrisk.session import at_once, stage
 
 
 def with_calendar(df: DataFrame, date_col: str = "lot_start_date") -> DataFrame:
@@ -41,10 +41,23 @@ def with_processing_days(
 
 
 def price_statistics(
-    df: DataFrame, title: str = "title_ru", price: str = "contract_sum", **options
+    df: DataFrame,
+    title: str = "title_ru",
+    price: str = "contract_sum",
+    *,
+    exact: bool = True,
+    hot_rows: int = HOT_ROWS,
+    sketch_k: int = SKETCH_K,
 ) -> DataFrame:
-    """Titles with a usable robust scale: ``title``, ``n``, ``median``, ``mad``."""
-    stats = group_median_mad(df, [title], price, **options)
+    """Titles with a usable robust scale: ``title``, ``n``, ``median``, ``mad``.
+
+    ``exact=False`` takes them from mergeable sketches of ``sketch_k`` values per title, with
+    a rank error of ``quantiles.sketch_error(sketch_k)``.
+    """
+    if exact:
+        stats = group_median_mad(df, [title], price, hot_rows=hot_rows)
+    else:
+        stats = sketch_median_mad(df, [title], price, k=sketch_k)
     usable = (F.col("n") >= fixed.MIN_PRICES) & (F.col("mad") > 0)
     return stage(stats.where(usable), "price-statistics")
 
@@ -54,7 +67,8 @@ def with_price_z(
     title: str = "title_ru",
     price: str = "contract_sum",
     stats: DataFrame | None = None,
-    **options,
+    *,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Robust z-score of the price among rows of the same title, 0 where there is none."""
     if stats is None:
@@ -62,7 +76,7 @@ def with_price_z(
     centre = stats.select(title, F.col("median").alias("__median"), F.col("mad").alias("__mad"))
     z = F.lit(fixed.MAD_SCALE) * (F.col(price) - F.col("__median")) / F.col("__mad")
     return (
-        attach(df, centre, [title], **options)
+        attach(df, centre, [title], broadcast_bytes=broadcast_bytes)
         .withColumn("price_z", F.coalesce(z, F.lit(0.0)))
         .drop("__median", "__mad")
     )
@@ -127,14 +141,15 @@ def with_repeat_flag(
     min_contracts: int = fixed.MIN_CONTRACTS,
     min_share: float = fixed.WIN_SHARE_LIMIT,
     min_on: str = "customer",
-    **options,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows of a provider that wins most contracts of the customer."""
     if pairs is None:
         pairs = repeat_pairs(
             df, customer, provider, min_contracts=min_contracts, min_share=min_share, min_on=min_on
         )
-    return _with_membership(df, pairs, [customer, provider], "repeat_flag", F.lit(True), options)
+    keys = [customer, provider]
+    return _with_membership(df, pairs, keys, "repeat_flag", F.lit(True), broadcast_bytes)
 
 
 def split_groups(
@@ -174,7 +189,7 @@ def with_split_flag(
     limit: float = fixed.SMALL_CONTRACT,
     min_rows: int = fixed.SPLIT_MIN_ROWS,
     days: float = fixed.SPLIT_DAYS,
-    **options,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Small contracts of such a group, undated ones included."""
     if groups is None:
@@ -182,7 +197,7 @@ def with_split_flag(
             df, customer, title, amount, date, limit=limit, min_rows=min_rows, days=days
         )
     is_small = F.col(amount) <= limit
-    return _with_membership(df, groups, [customer, title], "split_flag", is_small, options)
+    return _with_membership(df, groups, [customer, title], "split_flag", is_small, broadcast_bytes)
 
 
 def sliding_split_slices(
@@ -195,7 +210,7 @@ def sliding_split_slices(
     limit: float = fixed.SMALL_CONTRACT,
     min_rows: int = fixed.SPLIT_MIN_ROWS,
     days: float = fixed.SPLIT_DAYS,
-    **options,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Where some ``min_rows`` small contracts start within any ``days``.
 
@@ -223,7 +238,7 @@ def sliding_split_slices(
     if edge < 1:
         return stage(full, "split-slices")
     needed = slices.where("__needed").select(*slice_keys, "__n")
-    near = attach(moments, needed, slice_keys, "inner", **options)
+    near = attach(moments, needed, slice_keys, "inner", broadcast_bytes=broadcast_bytes)
     sparse = near.where(F.col("__n") < min_rows).withColumn("__end", F.lit(0))
     crowded = near.where(F.col("__n") >= min_rows)
     # Spark cuts both rankings to their first rows before the shuffle.
@@ -273,17 +288,18 @@ def with_sliding_split_flag(
     min_rows: int = fixed.SPLIT_MIN_ROWS,
     days: float = fixed.SPLIT_DAYS,
     out: str = "split_flag",
-    **options,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Small contracts that lie in a window of ``days`` with at least ``min_rows``."""
     slices = sliding_split_slices(
-        df, customer, title, amount, date, limit=limit, min_rows=min_rows, days=days, **options
+        df, customer, title, amount, date, limit=limit, min_rows=min_rows, days=days,
+        broadcast_bytes=broadcast_bytes,
     )
     width = int(days * DAY)
     sliced = df.withColumn("__slice", start_of_slice(micros_of(F.col(date)), width))
     hit = F.col("__full") | F.array_contains("__moments", micros_of(F.col(date)))
     return (
-        attach(sliced, slices, [customer, title, "__slice"], **options)
+        attach(sliced, slices, [customer, title, "__slice"], broadcast_bytes=broadcast_bytes)
         .withColumn(out, risk.flag((F.col(amount) <= limit) & hit))
         .select(*df.columns, out)
     )
@@ -320,10 +336,21 @@ def engineer_features(
 ) -> DataFrame:
     """All features of the joined table, in the order of the featured table.
 
-    Pass a stored table: it is read once per statistics table and once for the rows.
+    Pass a stored table: it is read once per statistics table, which are built at the same
+    time, and once for the rows.
     """
     split = {"limit": split_limit, "days": split_days}
-    stats, pairs, groups = price_statistics(df), repeat_pairs(df), split_groups(df, **split)
+    built = at_once(
+        {
+            "prices": lambda: price_statistics(df),
+            "pairs": lambda: repeat_pairs(df),
+            "groups": lambda: split_groups(df, **split),
+        }
+    )
+    for result in built.values():
+        if isinstance(result, Exception):
+            raise result
+    stats, pairs, groups = built.values()
     df = with_processing_days(with_calendar(df))
     df = with_price_flag(with_price_z(df, stats=stats))
     df = with_single_flag(df)
@@ -407,12 +434,12 @@ def _small(df: DataFrame, customer: str, title: str, amount: str, limit: float)
 
 
 def _with_membership(
-    df: DataFrame, members: DataFrame, on: list[str], out: str, condition: Column, options: dict
+    df: DataFrame, members: DataFrame, on: list[str], out: str, condition: Column, broadcast_bytes: int
 ) -> DataFrame:
     """``out``: 1 where the row's key is a member and the condition holds."""
     marked = members.withColumn("__member", F.lit(True))
     return (
-        attach(df, marked, on, **options)
+        attach(df, marked, on, broadcast_bytes=broadcast_bytes)
         .withColumn(out, risk.flag(F.col("__member") & condition))
         .drop("__member")
     )

@@ -22,12 +22,13 @@ from procrisk.operators import (
     normalise,
     profile,
     quality,
+    quantiles,
     reports,
 )
 from procrisk.plans import oracle, testviews
 from procrisk.plans.workflow import build_procurements
 from procrisk.schemas import flat_schema
-from procrisk.session import fresh_path
+from procrisk.session import fresh_path, stage
 from procrisk.sources import documents, tables
 from procrisk.streaming.landing import land_new_objects
 
@@ -368,6 +369,52 @@ def typed_columns(spark, folder):
     return normalise.coerce_types(untyped)
 
 
+_LAST_YEAR = """SELECT o_orderkey AS lot_id,
+        CASE WHEN o_orderkey % 5 = 0 THEN strftime(o_orderdate, '%m.%d.%Y')
+          ELSE strftime(o_orderdate, '%d.%m.%Y') END AS a,
+        CASE WHEN o_orderkey % 5 = 0 THEN strftime(o_orderdate, '%d/%m/%Y')
+          ELSE strftime(o_orderdate, '%m/%d/%Y') END AS s
+    FROM orders"""
+
+
+def _mixed_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """Dates of two layouts a column, most of them day first in one and month first in the other."""
+    fifth = F.col("o_orderkey") % 5 == 0
+
+    def written(some: str, most: str):
+        return F.when(fifth, F.date_format("o_orderdate", some)).otherwise(F.date_format("o_orderdate", most))
+
+    return _read(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("lot_id"),
+        written("MM.dd.yyyy", "dd.MM.yyyy").alias("accept_date"),
+        written("dd/MM/yyyy", "MM/dd/yyyy").alias("lot_start_date"),
+    )
+
+
+@query(
+    f"""SELECT CAST(lot_id AS VARCHAR) AS lot_id, try_strptime(a, '%d.%m.%Y') AS accept_date,
+              try_strptime(s, '%m/%d/%Y') AS lot_start_date FROM ({_LAST_YEAR})"""
+)
+def voted_dates(spark, folder):
+    return normalise.coerce_types(_mixed_dates(spark, folder))
+
+
+@query(
+    "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS "column", count(*) AS "values",
+              count(try_strptime({c}, '%d{x}%m{x}%Y')) AS day_first,
+              count(try_strptime({c}, '%m{x}%d{x}%Y')) AS month_first, '{layout}' AS layout,
+              count(*) - count(try_strptime({c}, '{form.replace(' ', x)}')) AS lost FROM ({_LAST_YEAR})"""
+        for name, c, x, layout, form in (
+            ("accept_date", "a", ".", "day_first", "%d %m %Y"),
+            ("lot_start_date", "s", "/", "month_first", "%m %d %Y"),
+        )
+    )
+)
+def date_layouts(spark, folder):
+    return normalise.date_layouts(_mixed_dates(spark, folder))
+
+
 def _write_raw(spark: SparkSession, folder: str) -> str:
     """All three entities as raw documents, one per line."""
     path = fresh_path(spark, "raw")
@@ -717,6 +764,37 @@ def price_zscore_hot(spark, folder):
     return _rounded(found, "price_z").select("event_id", "price_z")
 
 
+# Small, so that the groups of the test tables have more values than their sketches.
+_SMALL_SKETCH = 100
+
+
+@query(
+    """SELECT event_type, count(*) AS n, true AS median_in_bounds, true AS mad_in_bounds
+       FROM events WHERE value IS NOT NULL GROUP BY 1"""
+)
+def price_zscore_sketched(spark, folder):
+    """Per group of the approximate form: whether the ranks that its median and deviation
+    have among the rows are within three times the stated error of a half."""
+    events = _read(spark, folder, "events")
+    stats = features.price_statistics(events, "event_type", "value", exact=False, sketch_k=_SMALL_SKETCH)
+    off = F.abs(F.col("value") - F.col("median"))
+    error = 3 * quantiles.sketch_error(_SMALL_SKETCH)
+
+    def in_bounds(x, centre):
+        low, high = F.avg((x < centre).cast("int")), F.avg((x <= centre).cast("int"))
+        return (low - error <= 0.5) & (high + error >= 0.5)
+
+    return (
+        events.join(F.broadcast(stats), "event_type")
+        .groupBy("event_type")
+        .agg(
+            F.first("n").alias("n"),
+            in_bounds(F.col("value"), F.col("median")).alias("median_in_bounds"),
+            in_bounds(off, F.col("mad")).alias("mad_in_bounds"),
+        )
+    )
+
+
 @query(_EVENT_Z + " SELECT event_id, CAST(price_z > 3 AS INTEGER) AS price_flag FROM z")
 def price_flag(spark, folder):
     found = features.with_price_z(_read(spark, folder, "events"), "event_type", "value")
@@ -939,6 +1017,20 @@ def _event_model(spark: SparkSession, folder: str, **options) -> model.AnomalyMo
     return model.train(_event_rows(spark, folder), ["event_id"], _EVENT_FEATURES, **options)
 
 
+@query("SELECT count(*) AS rows_scored, CAST(0 AS BIGINT) AS differing FROM events")
+def reproducible_scores(spark, folder):
+    """Rows whose score differs between two models of one seed, fitted on other partitions."""
+    rows = _event_rows(spark, folder)
+    dealt = stage(rows.repartition(13, "event_id").sortWithinPartitions(F.desc("event_id")), "dealt")
+    one, two = (
+        model.train(df, ["event_id"], _EVENT_FEATURES, trees=20) for df in (rows, dealt)
+    )
+    first = model.score_rows(rows, one).withColumnRenamed("anomaly_score", "first").drop("is_anomaly")
+    both = model.score_rows(first, two)
+    far = F.abs(F.col("anomaly_score") - F.col("first")) > 1e-9
+    return both.agg(F.count("*").alias("rows_scored"), F.count_if(far).alias("differing"))
+
+
 @query(
     f"""SELECT CAST(t AS INTEGER) AS tree_id, least({fixed.MAX_SAMPLES}, (SELECT count(*) FROM events)) AS root_size,
               least({fixed.MAX_SAMPLES}, (SELECT count(*) FROM events)) AS leaf_rows, true AS depth_in_bounds

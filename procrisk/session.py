@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
@@ -59,3 +63,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def at_once(jobs: dict[str, Callable[[], Any]]) -> dict[str, Any]:
+    """Runs independent jobs from threads that inherit this one's Spark properties, so that
+    the tail of one overlaps with the others. Gives each job's result or its exception."""
+
+    def run(job: Callable[[], Any]) -> Any:
+        try:
+            return job()
+        except Exception as error:  # noqa: BLE001 - the caller decides what stops it
+            return error
+
+    with ThreadPoolExecutor(max(len(jobs), 1)) as threads:
+        heir = inheritable_thread_target(SparkSession.getActiveSession())(run)
+        started = {name: threads.submit(heir, job) for name, job in jobs.items()}
+        return {name: future.result() for name, future in started.items()}

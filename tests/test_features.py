@@ -11,7 +11,7 @@ from procrisk.functions import risk
 from procrisk.operators import features as fe
 
 DAY = dt.datetime(2024, 1, 1)
-WIDE = [{}, {"broadcast_bytes": -1, "hot_rows": 2}]
+WIDE = [{}, {"broadcast_bytes": -1}]
 
 
 def price_z(spark, rows, **options):

@@ -12,6 +12,8 @@ from procrisk.operators import ingest, joins, normalise, profile, quality, repor
 from procrisk.plans import workflow
 from procrisk.schemas import flat_schema, raw_schema
 from procrisk.sources import documents, tables
+from procrisk import session
+from procrisk.streaming import landing
 from procrisk.streaming.landing import land_new_objects
 
 CONTRACT = {
@@ -196,6 +198,85 @@ def test_landing_takes_each_file_once(spark, tmp_path):
     assert [r["source_file"].rsplit("/", 1)[1] for r in lost] == ["3.json"]
 
 
+def test_landing_again_after_a_failure_between_both_writes(spark, tmp_path, monkeypatch):
+    schema = raw_schema("OrderDetail")
+    where = [str(tmp_path / p) for p in ("in", "out", "progress")]
+    put(tmp_path / "in", "1.json", CONTRACT)
+    put(tmp_path / "in", "2.json", "broken")
+    real, written = landing._write, []
+
+    def failing(rows, path):
+        if len(written) == 1:
+            written.append(None)
+            raise OSError("the store is gone")
+        written.append(path)
+        real(rows, path)
+
+    monkeypatch.setattr(landing, "_write", failing)
+    with pytest.raises(Exception, match="the store is gone"):
+        land_new_objects(spark, where[0], schema, *where[1:])
+    assert spark.read.parquet(where[1]).count() == 1  # the records are there, the rejects are not
+    put(tmp_path / "in", "3.json", {**CONTRACT, "externalId": "9"})
+    landed = land_new_objects(spark, where[0], schema, *where[1:])
+    assert sorted(r["externalId"] for r in landed.collect()) == ["007", "9"]
+    assert spark.read.parquet(f"{where[1]}_rejects").count() == 1
+
+
+def test_landing_reads_each_file_once(spark, tmp_path):
+    schema, seen = raw_schema("OrderDetail"), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def watched(text):
+        seen.add(1)
+        return text
+
+    real = landing.parse
+    where = [str(tmp_path / p) for p in ("in", "out", "progress")]
+    for k in range(3):
+        put(tmp_path / "in", f"{k}.json", "broken" if k else CONTRACT)
+    landing.parse = lambda texts, schema: real(texts.withColumn("raw_text", watched("raw_text")), schema)
+    try:
+        land_new_objects(spark, where[0], schema, *where[1:])
+    finally:
+        landing.parse = real
+    assert seen.value == 3
+
+
+def test_dates_of_a_column_have_one_layout(spark):
+    rows = [("15.01.2024", "01/15/2024", "2024-01-15"), ("05.01.2024", "05/01/2024", "junk"),
+            ("06.07.2024", "06/07/2024", None), ("01.15.2024", "15/01/2024", "1.2.2024"),
+            ("16-2-2024 10:00:00", "12/31/2024", "3.4.2024")]
+    df = spark.createDataFrame(rows, "accept_date string, lot_start_date string, plan_date string")
+    told = {r["column"]: tuple(r)[1:] for r in normalise.date_layouts(df).collect()}
+    assert told == {
+        "accept_date": (5, 4, 3, "day_first", 1),
+        "lot_start_date": (5, 3, 4, "month_first", 1),
+        "plan_date": (2, 2, 2, "month_first", 0),
+    }
+    got = [tuple(r) for r in normalise.coerce_types(df).collect()]
+    day = lambda *d: dt.datetime(2024, *d)
+    assert got == [
+        (day(1, 15), day(1, 15), day(1, 15)), (day(1, 5), day(5, 1), None), (day(7, 6), day(6, 7), None),
+        (None, None, day(1, 2)), (day(2, 16, 10), day(12, 31), day(3, 4)),
+    ]
+    assert normalise.date_layouts(df.select(F.lit("x").alias("lot_id"))).count() == 0
+
+
+def test_stored_entity_is_written_again_when_days_come_first(spark, tmp_path):
+    for k, date in enumerate(("15.01.2024", "05.01.2024", "01.16.2024", "20.01.2024")):
+        put(tmp_path / "raw" / "OrderDetail", f"{k}.json", {**CONTRACT, "externalId": str(k), "acceptdate": date})
+    done = normalise.normalise_entity(spark, f"{tmp_path}/raw/OrderDetail", "OrderDetail", f"{tmp_path}/out")
+    assert done["records"] == 4 and done["lost_dates"] == 1 and done["layouts"]["accept_date"] == "day_first"
+    got = {r["lot_id"]: r["accept_date"] for r in tables.read_parquet(spark, done["file"]).collect()}
+    assert got == {"0": dt.datetime(2024, 1, 15), "1": dt.datetime(2024, 1, 5), "2": None, "3": dt.datetime(2024, 1, 20)}
+
+
+def test_jobs_at_once():
+    done = session.at_once({"a": lambda: 1, "b": lambda: 1 / 0, "c": lambda: "x"})
+    assert done["a"] == 1 and done["c"] == "x" and isinstance(done["b"], ZeroDivisionError)
+    assert session.at_once({}) == {}
+
+
 def test_bookkeeping(spark):
     listed = spark.createDataFrame([("a", str(i)) for i in (1, 2, 2, 5, 9)] + [("b", "x")], "entity string, id string")
     stored = spark.createDataFrame([("a", "5"), ("c", "7")], "entity string, id string")
