@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from procrisk.llm.common import narrow, text_of
+from procrisk.llm.common import narrow, text_of, with_null_ids, with_whole_ids
 
 #: Bounds of the training sample: documents and characters of each class in expectation,
 #: characters of one document. They bound fitting only; scoring reads everything.
@@ -166,8 +166,9 @@ def _tokenise(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 def _distinct(texts: list[str], labels: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """Texts without near copies of earlier ones: half of eight minima of word hashes agree."""
-    seen: set[tuple[int, int]] = set()
+    """Texts that are no near copy of an earlier one: half of the eight minima of their word
+    hashes agree with those of one earlier text."""
+    holders: dict[tuple[int, int], list[int]] = defaultdict(list)
     keep = []
     rng = np.random.default_rng(7)
     factors = rng.integers(1, 1 << 62, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -176,9 +177,11 @@ def _distinct(texts: list[str], labels: np.ndarray) -> tuple[list[str], np.ndarr
             [zlib.crc32(w.encode()) for w in set(text.split())] or [0], dtype=np.uint64
         )
         minima = [(j, int((words * f >> np.uint64(16)).min())) for j, f in enumerate(factors)]
-        if sum(m in seen for m in minima) < 4:
+        agree = Counter(t for m in minima for t in holders[m])
+        if max(agree.values(), default=0) < 4:
             keep.append(k)
-        seen.update(minima)
+            for m in minima:
+                holders[m].append(k)
     return [texts[k] for k in keep], labels[keep]
 
 
@@ -419,6 +422,7 @@ def score(docs: DataFrame, model: Model, predict_at: float = PREDICT_AT) -> Data
                 scores, spans = score_texts(shared.value, texts[a:b])
                 yield pd.DataFrame(
                     {
+                        "_known": batch["_known"].iloc[a:b],
                         "doc_id": batch["doc_id"].iloc[a:b],
                         "score": scores,
                         "predicted": (scores >= predict_at).astype(np.int32),
@@ -428,10 +432,12 @@ def score(docs: DataFrame, model: Model, predict_at: float = PREDICT_AT) -> Data
 
     rows = narrow(docs, "doc_id", "text").select("doc_id", text_of().alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(
+    scored = with_whole_ids(rows).mapInPandas(
         run,
-        f"doc_id {kind}, score double, predicted int, spans array<struct<start:int,end:int>>",
+        f"_known boolean, doc_id {kind}, score double, predicted int, "
+        "spans array<struct<start:int,end:int>>",
     )
+    return with_null_ids(scored)
 
 
 def _slices(texts: list[str], characters: int = 2_000_000) -> Iterator[tuple[int, int]]:
