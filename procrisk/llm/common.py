@@ -42,6 +42,20 @@ def narrow(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*columns)
 
 
+def with_whole_ids(rows: DataFrame) -> DataFrame:
+    """``rows`` whose doc_id travels to Python without nulls, which pandas would turn into
+    floats that round large ids; ``_known`` tells which ones there are."""
+    kind = rows.schema["doc_id"].dataType
+    return rows.withColumn("_known", F.col("doc_id").isNotNull()).withColumn(
+        "doc_id", F.coalesce("doc_id", F.lit(0).cast(kind))
+    )
+
+
+def with_null_ids(rows: DataFrame) -> DataFrame:
+    """``rows`` as they were before ``with_whole_ids``."""
+    return rows.withColumn("doc_id", F.when(F.col("_known"), F.col("doc_id"))).drop("_known")
+
+
 def beside(side: DataFrame, width: int, blob: str | None = None) -> DataFrame:
     """``side`` (a stored table), marked for broadcast if all of it is small.
 

@@ -25,13 +25,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from procrisk.llm.common import narrow, text_of
-from procrisk.session import fresh_path
+from procrisk.llm.common import beside, narrow, row_key, text_of, with_whole_ids
+from procrisk.session import fresh_path, stage
 
 END = 2
 #: Bounds of the dictionary's training sample: texts, characters of each, dictionary bytes.
@@ -53,7 +55,7 @@ _REMEMBERED = 300_000
 
 SHARDS = (
     "part int, number int, start long, n_ids long, dictionary string, width int, "
-    "doc_ids array<long>, offsets array<long>, counts array<long>, data binary"
+    "doc_ids array<long>, without_id array<int>, offsets array<long>, counts array<long>, data binary"
 )
 
 
@@ -126,31 +128,68 @@ class Encoder:
             return self._word(letters) + self._marks(piece[len(letters) :])
         return self._whole(" " + piece)
 
+    def _known(self, piece: str) -> bytes:
+        """Ids of a space and ``piece``, remembered."""
+        found = self._new.get(piece)
+        if found is None:
+            found = self._old.get(piece)
+            if found is None:
+                found = self._piece(piece)
+            self._new[piece] = found
+            if len(self._new) >= _REMEMBERED:
+                self._old, self._new = self._new, {}
+        return found
+
+    def _cut(self, text: str) -> bytes:
+        """A text with other white space than single spaces and line ends."""
+        head, *rest = _CUT.split(text)
+        return b"".join([self._whole(head) if head else b"", *map(self._known, rest), self._end])
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            if _ODD.search(text) or "  " in text or " \n" in text or "\n " in text:
-                head, *rest = _CUT.split(text)
-            else:
-                head, *rest = text.strip(" ").split(" ")
-                if text[:1] == " " or text[-1:] == " ":
-                    head, *rest = _CUT.split(text)
-            found = list(map(self._new.get, rest))
-            if None in found:
-                old = self._old.get
-                for k, f in enumerate(found):
-                    if f is None:
-                        piece = rest[k]
-                        f = old(piece)
-                        if f is None:
-                            f = self._piece(piece)
-                        found[k] = self._new[piece] = f
-                if len(self._new) >= _REMEMBERED:
-                    self._old, self._new = self._new, {}
-            out.append(b"".join([self._whole(head) if head else b"", *found, self._end]))
+        """Texts cut at single spaces are encoded together: Arrow finds their different
+        pieces, each of which is looked up once, and puts the ids back in order."""
+        plain = [k for k, text in enumerate(texts) if _is_plain(text)]
+        out: list[bytes] = [b""] * len(texts)
+        for k in set(range(len(texts))) - set(plain):
+            out[k] = self._cut(texts[k])
+        if not plain:
+            return out
+        cut = pc.split_pattern(pa.array([texts[k] for k in plain], pa.large_string()), " ")
+        begins = cut.offsets.to_numpy()
+        coded = cut.values.dictionary_encode()
+        names, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        # The first piece of a text has no space before it; every text ends with the end id.
+        heads = [names[k] for k in at[begins[:-1]].tolist()]
+        inner = np.ones(len(at), dtype=bool)
+        inner[begins[:-1]] = False
+        used = np.zeros(len(names), dtype=bool)
+        used[at[inner]] = True
+        found = [self._known(name) if use else b"" for name, use in zip(names, used.tolist(), strict=True)]
+        at = at.astype(np.int64)
+        at[begins[:-1]] = len(found) + np.arange(len(heads))
+        found += [self._marks(head) if head else b"" for head in heads]
+        found.append(self._end)
+        at = np.insert(at, begins[1:], len(found) - 1)
+        ids = np.frombuffer(b"".join(found), dtype=self.kind)
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // self.kind.itemsize
+        starts = (np.cumsum(sizes) - sizes)[at]
+        sizes = sizes[at]
+        upto = np.cumsum(sizes)
+        order = np.repeat(starts - (upto - sizes), sizes) + np.arange(upto[-1])
+        blob = memoryview(ids[order].tobytes())
+        ends = upto[begins[1:] + np.arange(len(plain))] * self.kind.itemsize
+        for k, a, b in zip(plain, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            out[k] = bytes(blob[a:b])
         return out
 
 
+def _is_plain(text: str) -> bool:
+    """Whether all white space is single spaces between words, and line ends without any."""
+    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " ":
+        return False
+    return text.isprintable() or not _ODD.search(text)
+
+
 _encoders: dict[str, Encoder] = {}
 
 
@@ -197,7 +236,9 @@ def train_dictionary(
         return Dictionary(b"")
     share = int(min(1.0, sample_texts / total) * (1 << 30))
     drawn = fit.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < share)
-    texts = sorted(r["text"] for r in drawn.select("text").limit(4 * sample_texts).collect())
+    # The bound is only met if ids repeat; then the texts of least hash are taken.
+    drawn = drawn.orderBy(row_key(), "text").limit(4 * sample_texts)
+    texts = sorted(r["text"] for r in drawn.select("text").collect())
     arrays = encoder(vocabulary).encode(texts)
     try:
         trained = zstandard.train_dictionary(DICTIONARY_BYTES, arrays, level=LEVEL)
@@ -224,7 +265,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str | None = None) ->
         part, number, start = TaskContext.get().partitionId(), 0, 0
         tokens, press = encoder(vocabulary), dictionary.compressor()
         width = tokens.kind.itemsize
-        ids, counts, frames_held, size = [], [], [], 0
+        ids, nulls, counts, frames_held, size = [], [], [], [], 0
 
         def shard() -> pd.DataFrame:
             lengths = np.cumsum([0, *map(len, frames_held)])
@@ -237,6 +278,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str | None = None) ->
                     "dictionary": [dictionary.name],
                     "width": [width],
                     "doc_ids": [ids],
+                    "without_id": [nulls],
                     "offsets": [lengths.tolist()],
                     "counts": [counts],
                     "data": [b"".join(frames_held)],
@@ -244,12 +286,13 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str | None = None) ->
             )
 
         for frame in frames:
-            keys = [None if k is None or k != k else int(k) for k in frame["doc_id"].tolist()]
-            texts = frame["text"].tolist()
-            for a in range(0, len(texts), 500):
-                for key, ids_written in zip(
-                    keys[a : a + 500], tokens.encode(texts[a : a + 500]), strict=True
+            keys, known, texts = (frame[c].tolist() for c in ("doc_id", "_known", "text"))
+            for a, b in _slices(texts):
+                for key, has_id, ids_written in zip(
+                    keys[a:b], known[a:b], tokens.encode(texts[a:b]), strict=True
                 ):
+                    if not has_id:
+                        nulls.append(len(ids))
                     ids.append(key)
                     counts.append(len(ids_written) // width)
                     frames_held.append(press.compress(ids_written))
@@ -257,18 +300,30 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str | None = None) ->
                     if size >= SHARD_BYTES:
                         yield shard()
                         start, number = start + sum(counts), number + 1
-                        ids, counts, frames_held, size = [], [], [], 0
+                        ids, nulls, counts, frames_held, size = [], [], [], [], 0
         if ids:
             yield shard()
 
-    ordered = rows.repartitionByRange(int(parts), F.col("doc_id").asc_nulls_first())
-    ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    ordered.mapInPandas(pack, SHARDS).write.option("compression", "none").parquet(
+    # Rows of one id, or of none, are dealt to many tasks by how their texts begin.
+    first = F.col("doc_id").asc_nulls_first()
+    ordered = rows.repartitionByRange(int(parts), first, F.substring("text", 1, 64))
+    ordered = ordered.sortWithinPartitions(first, "text")
+    with_whole_ids(ordered).mapInPandas(pack, SHARDS).write.option("compression", "none").parquet(
         f"{folder}/shards"
     )
     return folder
 
 
+def _slices(texts: list[str], characters: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``characters`` in all, one text at least."""
+    a, held = 0, 0
+    for b, text in enumerate(texts, 1):
+        held += len(text)
+        if held >= characters or b == len(texts):
+            yield a, b
+            a, held = b, 0
+
+
 def _dictionary(spark, folder: str) -> Dictionary:
     """The stored dictionary; its size is bounded by ``DICTIONARY_BYTES``."""
     row = spark.read.parquet(f"{folder}/dictionary").first()
@@ -295,12 +350,13 @@ def read_tokens(
     the files, or of ``doc_ids`` only, whose frames alone are decompressed."""
     dictionary = _dictionary(spark, folder)
     shards = spark.read.schema(SHARDS).parquet(f"{folder}/shards")
-    # One row per partition that was written: their number was chosen by the writer.
-    parts = sorted(
-        shards.groupBy("part").agg(F.sum("n_ids").alias("n")).collect(), key=lambda r: r["part"]
+    # Ids before each partition: one row per partition that was written.
+    sums = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    first = stage(
+        sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), "token-starts"
     )
-    before = np.cumsum([0, *(r["n"] for r in parts)])
-    first = {r["part"]: int(b) for r, b in zip(parts, before, strict=False)}
+    shards = shards.join(beside(first, 16), "part")
     wanted = None if doc_ids is None else set(doc_ids)
     if wanted is not None:
         shards = shards.where(F.arrays_overlap("doc_ids", F.array(*map(F.lit, sorted(wanted)))))
@@ -308,9 +364,10 @@ def read_tokens(
     def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for shard in frame.itertuples(index=False):
-                start = first[shard.part] + shard.start
-                rows = []
-                keys = [None if k is None or k != k else int(k) for k in shard.doc_ids]
+                start, rows = shard.before + shard.start, []
+                keys = shard.doc_ids.tolist()
+                for k in shard.without_id.tolist():
+                    keys[k] = None
                 if wanted is None:
                     arrays = _frames(shard, dictionary)
                 else:
@@ -322,8 +379,8 @@ def read_tokens(
                         rows.append((*row, found.astype(np.int32)) if ids else row)
                     start += int(count)
                 columns = ["doc_id", "start", "n_tokens", "ids_crc32"]
-                out = pd.DataFrame(rows, columns=[*columns, "ids"] if ids else columns)
-                out["doc_id"] = out["doc_id"].astype("Int64")
+                out = pd.DataFrame([r[1:] for r in rows], columns=[*columns[1:], "ids"] if ids else columns[1:])
+                out.insert(0, "doc_id", pd.array([r[0] for r in rows], dtype="Int64"))
                 yield out
 
     kind = "doc_id long, start long, n_tokens long, ids_crc32 long"
