@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, StructType
 
@@ -412,3 +413,39 @@ def decode(encoded: DataFrame, model: Pieces, column: str = "piece_ids") -> Data
         )
 
     return _with_column(encoded, column, "decoded", "string", values)
+
+
+def encode_checked(docs: DataFrame, model: Pieces, column: str = "text") -> DataFrame:
+    """``docs`` with ``piece_ids`` and ``round_trip``, whether these decode to the text, in one
+    pass that holds the ids of a slice of rows at a time. Older columns of these two names are
+    replaced, all others pass through; a null text counts as empty."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = ("piece_ids", "round_trip")
+    rows = docs.select(*(c for c in docs.columns if c not in names))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+            for a, b in _slices_of(sizes):
+                part = batch.slice(a, b - a)
+                texts = [t or "" for t in part.column(column).to_pylist()]
+                found = shared.value.encode_many(texts)
+                same = [shared.value.decode(f.tolist()) == t for f, t in zip(found, texts, strict=True)]
+                ends = np.cumsum([0, *map(len, found)])
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, ids, pa.array(same)], [*part.schema.names, *names]
+                )
+
+    told = _fields("piece_ids array<int>, round_trip boolean")
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, *told]))
+
+
+def _slices_of(sizes: np.ndarray, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about ``size`` bytes of text in all, one row at least."""
+    a, held = 0, 0
+    for b, n in enumerate(sizes.tolist(), 1):
+        held += n
+        if held >= size or b == len(sizes):
+            yield a, b
+            a, held = b, 0
