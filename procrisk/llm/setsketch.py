@@ -32,9 +32,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import MapType, VariantType
 
 from procrisk.llm import windows
-from procrisk.llm.common import beside, narrow, row_key, text_of
+from procrisk.llm.common import (
+    beside,
+    narrow,
+    row_key,
+    text_of,
+    with_null_ids,
+    with_whole_ids,
+)
 from procrisk.llm.links import components
 from procrisk.session import stage
 
@@ -156,17 +164,19 @@ def sketches(docs: DataFrame) -> DataFrame:
             sets = shingle_sets(part["raw"].tolist())
             yield pd.DataFrame(
                 {
-                    "doc_id": part["doc_id"].astype("Int64"),
+                    "_known": part["_known"],
+                    "doc_id": part["doc_id"],
                     "n_shingles": [len(s) for s in sets],
                     "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
                     "registers": [registers(s).tobytes() for s in sets],
                 }
             )
 
-    rows = _rows(docs).select("doc_id", "raw")
-    return rows.mapInPandas(
-        run, "doc_id long, n_shingles long, digest binary, registers binary"
+    rows = with_whole_ids(_rows(docs).select("doc_id", "raw"))
+    sketched = rows.mapInPandas(
+        run, "_known boolean, doc_id long, n_shingles long, digest binary, registers binary"
     )
+    return with_null_ids(sketched)
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -396,7 +406,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each component, all columns kept. Of rows that share a doc_id
-    the one with the smallest text hash stays; rows without doc_id all stay."""
+    the one with the smallest text hash stays, of equal texts the one whose columns have the
+    smallest hash (columns of maps left out); rows without doc_id all stay."""
     judged = stage(near_duplicates(docs), "near-duplicates")
     gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id")).distinct()
     gone = beside(stage(gone, "duplicates"), 16)
@@ -408,9 +419,15 @@ def keep_first(docs: DataFrame) -> DataFrame:
     again = beside(again, 16)
     repeated = left["doc_id"] == again["_again_id"]
     once = left.join(again, repeated, "left_anti")
-    many = left.join(again, repeated, "left_semi").withColumn("_text_key", row_key())
-    least = many.groupBy("doc_id").agg(F.min("_text_key").alias("_least"))
-    many = many.join(least.withColumnRenamed("doc_id", "_least_id"), [
-        F.col("doc_id") == F.col("_least_id"), F.col("_text_key") == F.col("_least")
-    ]).drop("_least", "_least_id", "_text_key")
+    hashed = [
+        docs[f"`{field.name}`"] for field in docs.schema
+        if not isinstance(field.dataType, (MapType, VariantType))
+    ]
+    many = left.join(again, repeated, "left_semi").withColumn(
+        "_order", F.struct(row_key().alias("text"), F.xxhash64(*hashed).alias("row"))
+    )
+    least = many.groupBy(F.col("doc_id").alias("_least_id")).agg(F.min("_order").alias("_least"))
+    many = many.join(
+        least, (F.col("doc_id") == F.col("_least_id")) & (F.col("_order") == F.col("_least"))
+    ).drop("_least", "_least_id", "_order")
     return once.unionByName(many.dropDuplicates(["doc_id"]))

@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from procrisk.llm import windows
-from procrisk.llm.common import narrow, row_key, text_of, without
+from procrisk.llm.common import narrow, row_key, text_of, with_null_ids, with_whole_ids, without
+from procrisk.session import stage
 
 SEED = 5
 PERCENT = 75
@@ -219,13 +220,15 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_key, item_id, coverage, n_tiles and longest_tile, one row for each row of
     ``docs`` and item that contaminates it."""
     spark = docs.sparkSession
-    rows = narrow(docs, "doc_id", "text").select(
-        "doc_id", row_key().alias("text_key"), text_of().alias("text")
+    rows = with_whole_ids(
+        narrow(docs, "doc_id", "text").select(
+            "doc_id", row_key().alias("text_key"), text_of().alias("text")
+        )
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
     item_kind = benchmark.schema["item_id"].dataType.simpleString()
     schema = (
-        f"doc_id {kind}, text_key long, item_id {item_kind}, coverage double, "
+        f"_known boolean, doc_id {kind}, text_key long, item_id {item_kind}, coverage double, "
         "n_tiles int, longest_tile int"
     )
     found = []
@@ -241,19 +244,23 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     at = [t for t, *_ in hits]
                     yield pd.DataFrame(
                         {
+                            "_known": part["_known"].iloc[at],
                             "doc_id": part["doc_id"].iloc[at],
                             "text_key": part["text_key"].iloc[at],
-                            "item_id": [block.items[h[1]] for h in hits],
+                            # As objects: a null among them must not make floats of the others.
+                            "item_id": np.array([block.items[h[1]] for h in hits], dtype=object),
                             "coverage": [h[2] for h in hits],
                             "n_tiles": [h[3] for h in hits],
                             "longest_tile": [h[4] for h in hits],
                         }
                     )
 
-        found.append(rows.mapInPandas(run, schema))
+        # Told and released before the next block, so that one block at a time is held.
+        found.append(stage(rows.mapInPandas(run, schema), "contaminated-block"))
+        shared.destroy()
     if not found:
-        return spark.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, found)
+        return with_null_ids(spark.createDataFrame([], schema))
+    return with_null_ids(reduce(DataFrame.unionByName, found))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -43,7 +43,8 @@ def test_queries_read_no_part_of_their_tables():
     assert sorted(queries.QUERIES) == sorted(
         f"op{n}_{name}" for n, name in enumerate(
             "suffix_dedup substring_dedup sentencepiece toxicity decontamination token_files "
-            "near_duplicates quality_rules url_filter secret_scan".split(), 1
+            "near_duplicates quality_rules url_filter secret_scan chat_format token_alignment "
+                "spelling_variants".split(), 1
         )
     )
 
