@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from procrisk.llm import pieces, quality, secrets, setsketch, tiling
 from procrisk.llm.common import reachable
@@ -43,12 +42,11 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their piece ids, and whether these decode to the text."""
+    """All documents with their ``piece_ids``, and ``round_trip``, whether these decode to the
+    text; columns of these two names are replaced."""
     reachable(spark)
     model = pieces.load_pieces(vocabulary("piece_bpe_32k.model"))
-    both = pieces.decode(pieces.encode(docs, model), model)
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return both.withColumn("round_trip", same).drop("decoded")
+    return pieces.encode_checked(docs, model)
 
 
 STAGES: list[tuple[str, Stage]] = [
