@@ -45,6 +45,21 @@ def join_contracts(
     return joined.select(*fixed.CONTRACT_COLUMNS, *fixed.LOT_COLUMNS, *fixed.PLAN_COLUMNS)
 
 
+def join_bucketed(contracts: DataFrame, lots: DataFrame, plans: DataFrame) -> DataFrame:
+    """As ``join_contracts`` for tables stored in buckets by lot id
+    (``sources.tables.write_buckets``): contracts and lots meet without a shuffle, and the
+    result is joined to the plans last. Buckets are never split, so this is for lot ids that
+    none owns a large part of the rows of; ``join_contracts`` takes any.
+    """
+    contracts = with_columns_present(contracts, fixed.CONTRACT_COLUMNS)
+    lots = with_columns_present(lots, fixed.LOT_COLUMNS)
+    plans = with_columns_present(plans, fixed.PLAN_COLUMNS).select("plan_id", *fixed.PLAN_COLUMNS)
+    known = contracts.select(*fixed.CONTRACT_COLUMNS).where(F.col("lot_id").isNotNull())
+    lots = lots.select("lot_id", *fixed.LOT_COLUMNS).where(F.col("lot_id").isNotNull())
+    joined = skew_join(known.join(lots, "lot_id", "left"), plans, ["plan_id"])
+    return joined.select(*fixed.CONTRACT_COLUMNS, *fixed.LOT_COLUMNS, *fixed.PLAN_COLUMNS)
+
+
 def with_join_columns(joined: DataFrame) -> DataFrame:
     """Price and payment ratio, and the two flags set at join time."""
     return joined.withColumns(

@@ -74,6 +74,13 @@ def facet_flags(df: DataFrame) -> DataFrame:
     return names.withColumn("title", text.flag_title("flag"))
 
 
+def facet_flag_counts(df: DataFrame) -> DataFrame:
+    """The list of flags to choose from, each with the contracts that carry it."""
+    flags = flag_columns(df)
+    counted = df.agg(*[F.count_if(F.col(f) == 1).alias(f) for f in flags])
+    return facet_flags(df).join(counted.unpivot([], flags, "flag", "contracts"), "flag")
+
+
 def in_date_range(df: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Start dates from ``start`` to midnight of ``end``, both included."""
     # Literals of the column's own type, so that the filter reaches the scan.

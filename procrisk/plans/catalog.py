@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from procrisk import fixed
 from procrisk.operators import (
+    dashboard,
     features,
     ingest,
     iforest,
@@ -26,7 +28,7 @@ from procrisk.operators import (
     reports,
 )
 from procrisk.plans import oracle, testviews
-from procrisk.plans.workflow import build_procurements
+from procrisk.plans.workflow import build_bucketed, build_procurements
 from procrisk.schemas import flat_schema
 from procrisk.session import fresh_path, stage
 from procrisk.sources import documents, tables
@@ -149,6 +151,18 @@ def stored_join(spark, folder):
     return _rounded(build_procurements(spark, bronze, bronze), "price_ratio", "payment_ratio")
 
 
+@query(oracle.over(oracle.JOINED, _STORED))
+def bucketed_join(spark, folder):
+    """The join from contracts and lots stored in buckets by lot id."""
+    bronze = fresh_path(spark, "bronze")
+    for entity, view in (
+        ("OrderDetail", testviews.contracts), ("_Lot", testviews.lots), ("Plan", testviews.plans),
+    ):
+        tables.write_parquet(view(spark, folder), f"{bronze}/{entity}.parquet")
+    joined = build_bucketed(spark, bronze, bronze, 8, f"bronze_{uuid.uuid4().hex}")
+    return _rounded(joined, "price_ratio", "payment_ratio")
+
+
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def incremental_landing(spark, folder):
     docs = _supplier_documents(spark, folder)
@@ -425,7 +439,14 @@ def _write_raw(spark: SparkSession, folder: str) -> str:
         F.col("contract_sum").alias("sum"),
         F.col("paid_sum").alias("paidSum"),
         F.date_format("accept_date", "yyyy-MM-dd'T'HH:mm:ss").alias("acceptdate"),
-        F.struct(F.col("order_method_id").alias("id")).alias("methodTrade"),
+        F.concat(F.lit("D "), "lot_id").alias("descriptionRu"),
+        F.struct(F.concat(F.lit("C "), "customer_bin").alias("nameru")).alias("customer"),
+        F.struct(F.concat(F.lit("P "), "provider_bin").alias("nameru")).alias("provider"),
+        F.struct(F.lit("portal").alias("nameRu")).alias("system"),
+        F.struct(
+            F.col("order_method_id").alias("id"),
+            F.concat(F.lit("M "), F.col("order_method_id").cast("string")).alias("nameRu"),
+        ).alias("methodTrade"),
     )
     plan = testviews.plans(spark, folder).select(
         F.col("plan_id").alias("externalId"),
@@ -445,8 +466,10 @@ def _write_raw(spark: SparkSession, folder: str) -> str:
 @query(
     oracle.over(
         oracle.VIEWS,
-        """SELECT lot_id, provider_bin, customer_bin, contract_sum, paid_sum, accept_date,
-                  order_method_id FROM contracts""",
+        """SELECT lot_id, provider_bin, customer_bin, 'C ' || customer_bin AS customer_name_ru,
+                  'P ' || provider_bin AS provider_name_ru, contract_sum, paid_sum, accept_date,
+                  'D ' || lot_id AS description_ru, 'portal' AS platform, order_method_id,
+                  'M ' || order_method_id AS method_trade_name_ru FROM contracts""",
     )
 )
 def normalised_contracts(spark, folder):
@@ -454,10 +477,7 @@ def normalised_contracts(spark, folder):
     done = normalise.normalise_entity(
         spark, f"{raw}/OrderDetail", "OrderDetail", out, whole_files=False
     )
-    return tables.read_parquet(spark, done["file"]).select(
-        "lot_id", "provider_bin", "customer_bin", "contract_sum", "paid_sum", "accept_date",
-        "order_method_id",
-    )
+    return tables.read_parquet(spark, done["file"])
 
 
 @query(
@@ -476,8 +496,12 @@ def normalised_entities(spark, folder):
 
 
 @query(
-    """SELECT CAST(o_orderkey AS VARCHAR) AS lot_id, o_totalprice AS lot_amount,
-              o_orderdate AS lot_start_date,
+    """SELECT CAST(o_orderkey AS VARCHAR) AS lot_id, CAST(o_custkey AS VARCHAR) AS plan_id,
+              CAST(NULL AS VARCHAR) AS tender_id, lpad(CAST(o_custkey AS VARCHAR), 12, '0') AS customer_bin,
+              CAST(NULL AS VARCHAR) AS customer_name_ru, CAST(NULL AS VARCHAR) AS organizer_name_ru,
+              o_orderpriority AS title_ru, CAST(NULL AS VARCHAR) AS description_ru,
+              CAST(NULL AS VARCHAR) AS platform, o_orderstatus AS method_trade_name_ru,
+              o_totalprice AS lot_amount, o_orderdate AS lot_start_date,
               CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS lot_method_id
        FROM orders"""
 )
@@ -486,8 +510,7 @@ def normalised_lots_csv(spark, folder):
     done = normalise.normalise_entity(
         spark, f"{raw}/_Lot", "_Lot", out, kind="csv", whole_files=False
     )
-    lots = tables.read_csv(spark, done["file"], flat_schema("_Lot"))
-    return lots.select("lot_id", "lot_amount", "lot_start_date", "lot_method_id")
+    return tables.read_csv(spark, done["file"], flat_schema("_Lot"))
 
 
 # --- profiles --------------------------------------------------------------------
@@ -1230,6 +1253,22 @@ def facet_customers(spark, folder):
     return reports.facet_customers(testviews.featured(spark, folder))
 
 
+@query(
+    oracle.over(
+        oracle.FEATURED,
+        "\nUNION ALL ".join(
+            f"SELECT '{flag}' AS flag, '{title}' AS title, count(*) FILTER ({flag} = 1) AS contracts FROM featured"
+            for flag, title in {
+                "single_bidder_flag": "Single Bidder", "price_flag": "Price", "single_flag": "Single",
+                "repeat_flag": "Repeat", "split_flag": "Split", "underpaid_flag": "Underpaid",
+            }.items()
+        ),
+    )
+)
+def facet_flags(spark, folder):
+    return reports.facet_flag_counts(testviews.featured(spark, folder))
+
+
 _ROWS_OF = "SELECT lot_id, risk_score, risk_category FROM featured WHERE "
 
 
@@ -1439,6 +1478,36 @@ def market_share(spark, folder):
     return reports.market_share(testviews.featured(spark, folder))
 
 
+def _measures_sql() -> str:
+    """The seven reports as (report, key, measure, value)."""
+    shapes = {
+        "summary_metrics": ("''", "total_contracts total_value high_risk high_risk_percent unique_customers"),
+        "category_distribution": ("risk_category", "contracts"),
+        "monthly_trend": ("month", "Low Medium High"),
+        "flag_frequency": ("flag", "flagged"),
+        "top_customers": ("customer_bin", "total_value contract_count avg_value high_risk_count"),
+        "top_providers": (
+            "provider_bin", "total_value contract_count avg_value high_risk_count unique_customers"
+        ),
+        "market_share": ("provider_bin", "contracts share_percent"),
+    }
+    chain = oracle.over(oracle.FEATURED, "")
+    bodies = {name: SQL[name].removeprefix(chain) for name in shapes}
+    tables = ",\n".join(f"{name} AS ({body})" for name, body in bodies.items())
+    rows = "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS report, {key} AS key, '{m}' AS measure, CAST("{m}" AS DOUBLE) AS value FROM {name}"""
+        for name, (key, measures) in shapes.items()
+        for m in measures.split()
+    )
+    return oracle.over(f"{oracle.FEATURED},\n{tables}", rows)
+
+
+@query(_measures_sql())
+def all_reports(spark, folder):
+    """Seven reports from one aggregation of the featured table."""
+    return dashboard.all_reports(dashboard.report_sums(testviews.featured(spark, folder)))
+
+
 # --- flagship --------------------------------------------------------------------
 
 _FLAGSHIP = """SELECT lot_id, customer_bin, provider_bin, contract_sum, round(price_z, 6) AS price_z,

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from procrisk import fixed
 from procrisk.operators.features import engineer_features
-from procrisk.operators.joins import procurements
+from procrisk.operators.joins import join_bucketed, procurements, with_join_columns
 from procrisk.operators.model import AnomalyModel, predict, save_model, train
 from procrisk.operators.normalise import normalise_all
 from procrisk.operators.quality import data_quality, quality_rules
-from procrisk.sources.tables import read_parquet, require_inputs, write_parquet
+from procrisk.sources.tables import read_parquet, require_inputs, write_buckets, write_parquet
 
 
 def build_bronze(spark: SparkSession, raw: str, folder: str, whole_files: bool = True) -> DataFrame:
@@ -28,6 +28,21 @@ def build_procurements(spark: SparkSession, bronze: str, folder: str) -> DataFra
     return spark.read.parquet(path)
 
 
+def build_bucketed(
+    spark: SparkSession, bronze: str, folder: str, buckets: int, prefix: str = "bronze"
+) -> DataFrame:
+    """Stores contracts and lots of the bronze tables in buckets by lot id, as tables named
+    by ``prefix``, and returns their join with the plans. For joins that are repeated."""
+    paths = [f"{bronze}/{entity}.parquet" for entity in ("OrderDetail", "_Lot", "Plan")]
+    require_inputs(spark, paths)
+    contracts, lots, plans = (spark.read.parquet(p) for p in paths)
+    contracts, lots = (
+        write_buckets(df, f"{prefix}_{name}", f"{folder}/{name}.buckets", "lot_id", buckets)
+        for name, df in (("contracts", contracts), ("lots", lots))
+    )
+    return with_join_columns(join_bucketed(contracts, lots, plans))
+
+
 def check_procurements(df: DataFrame) -> tuple[bool, DataFrame]:
     """Whether no rule of severity error fails, and the rules with their outcome."""
     rules = quality_rules(data_quality(df))
