@@ -40,8 +40,8 @@ from procrisk.session import stage
 
 WIDTH = 200
 SEED = 32
-#: Bytes that one step of the merge looks back; a divisor of the width.
-STRIDE = 8
+#: Bytes of a symbol, and bytes that one step of the merge looks back; both divide the width.
+STRIDE, STEP = 8, 40
 #: Bytes of contexts merged at once (more only where one anchor has more), shards of them.
 MERGED = 48 << 10
 SHARDS = 6
@@ -62,29 +62,31 @@ def _symbols(text: np.ndarray) -> np.ndarray:
     return out
 
 
-def _dense(values: np.ndarray) -> np.ndarray:
-    """Ranks from 1; 0 is free."""
+def _dense(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks from 1 (0 is free), and the order of the values."""
     order = np.argsort(values)
     ranked = values[order]
     rank = np.empty(len(values), dtype=np.int64)
-    rank[order] = np.cumsum(np.concatenate([[1], ranked[1:] != ranked[:-1]]))
-    return rank
+    rank[order] = np.cumsum(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    return rank, order
 
 
-def shard_order(symbols: np.ndarray, left: np.ndarray, width: int) -> np.ndarray:
-    """Places of one shard sorted by their next ``width`` bytes; ``left`` counts the bytes
-    left in each place's string. Ranks by twice as many bytes come from pairs of ranks."""
-    rank, depth, n = _dense(symbols), STRIDE, len(symbols)
+def deepened(
+    rank: np.ndarray, depth: int, left: np.ndarray, width: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks and order by ``width`` bytes from ranks by fewer: those by about twice as many
+    come from pairs. ``left`` counts the bytes left in each place's string."""
+    n = len(rank)
     while depth < width:
         shift = min(depth, width - depth)
         far = np.zeros(n, dtype=np.int64)
         if n > shift:
             far[:-shift] = np.where(left[:-shift] > shift, rank[shift:], 0)
-        rank = _dense(rank * np.int64(n + 1) + far)
+        rank, order = _dense(rank * (rank.max(initial=0) + 1) + far)
         depth += shift
         if rank.max(initial=0) == n:
             break
-    return np.argsort(rank, kind="stable")
+    return rank, order
 
 
 def _by_symbol(symbols: np.ndarray, wide: bool) -> np.ndarray:
@@ -111,25 +113,30 @@ def repeated_windows(
     cut = (np.uint64(8) * (STRIDE - left[short]).astype(np.uint64)).astype(np.uint64)
     symbols[short] = symbols[short] >> cut << cut
 
+    # One letter of the transforms: the next ``step`` bytes of a place, as a rank.
+    step = STEP if width % STEP == 0 else STRIDE
+    letter = _dense(symbols)[0]
+    if step > STRIDE:
+        letter = deepened(letter, STRIDE, left, step)[0]
     # Transforms of the shards: rows in the order of their suffixes.
     shard = np.array(shards)[string]
     place = []
     for k in np.unique(shard):
         own = np.flatnonzero(shard == k)
-        place.append(own[shard_order(symbols[own], left[own], width)])
+        place.append(own[deepened(letter[own], step, left[own], width)[1]])
     place = np.concatenate(place)
     row = np.empty(len(text), dtype=np.int32)
     row[place] = np.arange(len(text), dtype=np.int32)
-    kind = _dense(symbols) - 1
+    kind = letter - 1
     wide = int(kind.max(initial=0)) >= 1 << 16
-    earlier = np.where(into[place] >= STRIDE, row[np.maximum(place - STRIDE, 0)], -1)
-    before = np.where(earlier >= 0, kind[np.maximum(place - STRIDE, 0)], 0).astype(np.int32)
+    earlier = np.where(into[place] >= step, row[np.maximum(place - step, 0)], -1)
+    before = np.where(earlier >= 0, kind[np.maximum(place - step, 0)], 0).astype(np.int32)
     # The last rows of strings follow no earlier row; their order is that of the strings.
-    ends = row[np.flatnonzero(left <= STRIDE)]
+    ends = row[np.flatnonzero(left <= step)]
     end_kind = kind[place[ends]].astype(np.int32)
 
     merged = np.arange(len(text), dtype=np.int32)
-    for _ in range(-(-width // STRIDE)):
+    for _ in range(width // step):
         found = earlier[merged]
         has = found >= 0
         rows = np.concatenate([ends, found[has]])
@@ -139,14 +146,13 @@ def repeated_windows(
             break
         merged = moved
 
-    # Common prefixes of neighbours among the windows.
+    # Common prefixes of neighbours among the windows, a letter of the refinement at a time.
     at = place[merged]
     at = at[into[at] < np.array(spans)[string[at]]]
     a, b = at[:-1], at[1:]
     same = np.arange(len(a))
-    for depth in range(0, width, STRIDE):
-        step = min(depth, width - STRIDE)
-        same = same[symbols[a[same] + step] == symbols[b[same] + step]]
+    for depth in range(0, width, step):
+        same = same[letter[a[same] + depth] == letter[b[same] + depth]]
     twice = np.zeros(len(text), dtype=bool)
     twice[a[same]] = True
     twice[b[same]] = True
