@@ -164,13 +164,30 @@ def repeated_windows(
 # -- Anchors, contexts, buckets -------------------------------------------------------
 
 
+def _last_minima(names: np.ndarray, width: int) -> np.ndarray:
+    """As ``windows.last_minima`` by the upper 40 bits: these and the place, counted from
+    behind, are one number, so that a step is one minimum. What is equal in these bits is told
+    apart by place, which is alike in equal strings."""
+    n = len(names) - width + 1
+    if n <= 0 or len(names) >= 1 << 24:
+        return windows.last_minima(names, width)
+    behind = np.arange(len(names) - 1, -1, -1, dtype=np.uint64)
+    v, s = names >> np.uint64(24) << np.uint64(24) | behind, 1
+    while s * 2 <= width:
+        v = np.minimum(v[s:], v[:-s])
+        s *= 2
+    if width > s:
+        v = np.minimum(v[width - s :], v[: s - width])
+    return (len(names) - 1 - (v[:n] & np.uint64((1 << 24) - 1)).astype(np.int64)).astype(np.int32)
+
+
 def _anchors(raws: list[bytes], width: int, seed: int):
     """32-gram names of joined texts, where each text begins, and for every window its text,
     its place and that of its anchor."""
     text, begins = windows.joined(raws)
     names = windows.grams(text.astype(np.uint64) + np.uint64(1), seed)
     names = windows.mixed(names)
-    chosen = windows.last_minima(names, width - seed + 1)
+    chosen = _last_minima(names, width - seed + 1)
     owner = np.repeat(np.arange(len(raws)), np.diff(begins))[: len(chosen)]
     window = np.flatnonzero(np.arange(len(chosen)) + width <= begins[owner + 1] - 1)
     return names, begins, owner[window], window, chosen[window]
