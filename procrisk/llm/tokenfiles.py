@@ -59,6 +59,16 @@ SHARDS = (
 )
 
 
+_SHARD_SCHEMA = pa.schema(
+    [
+        ("part", pa.int32()), ("number", pa.int32()), ("start", pa.int64()), ("n_ids", pa.int64()),
+        ("dictionary", pa.string()), ("width", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
+        ("without_id", pa.list_(pa.int32())), ("offsets", pa.list_(pa.int64())),
+        ("counts", pa.list_(pa.int64())), ("data", pa.binary()),
+    ]
+)
+
+
 def _byte_letters() -> dict[int, str]:
     """How byte-level vocabularies write bytes: printable ones as themselves, the others as
     letters from U+0100 on, in order."""
@@ -86,6 +96,7 @@ class Encoder:
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self._id = [k.to_bytes(self.kind.itemsize, "little") for k in range(size)]
         self._end = self._id[end]
+        self._line = self._whole("\n")
         self._new: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
         self._alone: dict[str, bytes] = {}
@@ -94,17 +105,10 @@ class Encoder:
         one = self._id
         return b"".join([one[t.id] for t in self._model.tokenize(mapped)])
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a space and ``word``, which the pattern takes as one."""
-        found = self._new.get(word) or self._old.get(word)
-        if found is None:
-            if word.isascii():
-                found = self._model_ids(self._space + word)
-            else:
-                mapped = word.encode().decode("latin-1").translate(self._letters)
-                found = self._model_ids(self._space + mapped)
-        self._new[word] = found
-        return found
+    def _word(self, word: str, space: bool) -> bytes:
+        """Ids of ``word``, and of a space before it, which the pattern takes as one with it."""
+        mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self._letters)
+        return self._model_ids(self._space + mapped if space else mapped)
 
     def _marks(self, marks: str) -> bytes:
         found = self._alone.get(marks)
@@ -119,31 +123,37 @@ class Encoder:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
         return b"".join([one[k] for k in ids])
 
-    def _piece(self, piece: str) -> bytes:
-        """Ids of a space and ``piece``."""
+    def _piece(self, piece: str, space: bool = True) -> bytes:
+        """Ids of ``piece``, and of a space before it. A line end between two other characters
+        is a word of its own for the pattern, so lines are taken one by one."""
         letters = piece.rstrip(_MARKS)
         if (letters.isascii() and letters.isalpha()) or _LATIN.fullmatch(letters):
-            if len(letters) == len(piece):
-                return self._word(piece)
-            return self._word(letters) + self._marks(piece[len(letters) :])
-        return self._whole(" " + piece)
-
-    def _known(self, piece: str) -> bytes:
-        """Ids of a space and ``piece``, remembered."""
-        found = self._new.get(piece)
+            ids = self._word(letters, space)
+            return ids if len(letters) == len(piece) else ids + self._marks(piece[len(letters) :])
+        if "\n" in piece:
+            lines = piece.split("\n")
+            if all(lines):
+                found = [self._piece(lines[0], space)]
+                for line in lines[1:]:
+                    found += (self._line, self._piece(line, False))
+                return b"".join(found)
+        return self._whole(" " + piece if space else piece)
+
+    def _learn(self, piece: str) -> bytes:
+        """Ids of a space and ``piece``, which is not among the younger ones, remembered."""
+        found = self._old.get(piece)
         if found is None:
-            found = self._old.get(piece)
-            if found is None:
-                found = self._piece(piece)
-            self._new[piece] = found
-            if len(self._new) >= _REMEMBERED:
-                self._old, self._new = self._new, {}
+            found = self._piece(piece)
+        if len(self._new) >= _REMEMBERED:
+            self._old, self._new = self._new, {}
+        self._new[piece] = found
         return found
 
     def _cut(self, text: str) -> bytes:
         """A text with other white space than single spaces and line ends."""
         head, *rest = _CUT.split(text)
-        return b"".join([self._whole(head) if head else b"", *map(self._known, rest), self._end])
+        known = [self._new.get(piece) or self._learn(piece) for piece in rest]
+        return b"".join([self._whole(head) if head else b"", *known, self._end])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Texts cut at single spaces are encoded together: Arrow finds their different
@@ -158,24 +168,23 @@ class Encoder:
         begins = cut.offsets.to_numpy()
         coded = cut.values.dictionary_encode()
         names, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        found = list(map(self._new.get, names))
+        for k, ids in enumerate(found):
+            if ids is None:
+                found[k] = self._learn(names[k])
         # The first piece of a text has no space before it; every text ends with the end id.
         heads = [names[k] for k in at[begins[:-1]].tolist()]
-        inner = np.ones(len(at), dtype=bool)
-        inner[begins[:-1]] = False
-        used = np.zeros(len(names), dtype=bool)
-        used[at[inner]] = True
-        found = [self._known(name) if use else b"" for name, use in zip(names, used.tolist(), strict=True)]
         at = at.astype(np.int64)
         at[begins[:-1]] = len(found) + np.arange(len(heads))
-        found += [self._marks(head) if head else b"" for head in heads]
+        found += [self._piece(head, False) if head else b"" for head in heads]
         found.append(self._end)
         at = np.insert(at, begins[1:], len(found) - 1)
         ids = np.frombuffer(b"".join(found), dtype=self.kind)
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // self.kind.itemsize
-        starts = (np.cumsum(sizes) - sizes)[at]
+        sizes = np.fromiter(map(len, found), dtype=np.int32, count=len(found)) // self.kind.itemsize
+        starts = (np.cumsum(sizes, dtype=np.int32) - sizes)[at]
         sizes = sizes[at]
-        upto = np.cumsum(sizes)
-        order = np.repeat(starts - (upto - sizes), sizes) + np.arange(upto[-1])
+        upto = np.cumsum(sizes, dtype=np.int32)  # a slice of texts, or one long text
+        order = np.repeat(starts - (upto - sizes), sizes) + np.arange(upto[-1], dtype=np.int32)
         blob = memoryview(ids[order].tobytes())
         ends = upto[begins[1:] + np.arange(len(plain))] * self.kind.itemsize
         for k, a, b in zip(plain, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
@@ -261,32 +270,31 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str | None = None) ->
         int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES), 1
     )
 
-    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, start = TaskContext.get().partitionId(), 0, 0
         tokens, press = encoder(vocabulary), dictionary.compressor()
         width = tokens.kind.itemsize
         ids, nulls, counts, frames_held, size = [], [], [], [], 0
 
-        def shard() -> pd.DataFrame:
+        def shard() -> pa.RecordBatch:
             lengths = np.cumsum([0, *map(len, frames_held)])
-            return pd.DataFrame(
-                {
-                    "part": [part],
-                    "number": [number],
-                    "start": [start],
-                    "n_ids": [sum(counts)],
-                    "dictionary": [dictionary.name],
-                    "width": [width],
-                    "doc_ids": [ids],
-                    "without_id": [nulls],
-                    "offsets": [lengths.tolist()],
-                    "counts": [counts],
-                    "data": [b"".join(frames_held)],
-                }
-            )
-
-        for frame in frames:
-            keys, known, texts = (frame[c].tolist() for c in ("doc_id", "_known", "text"))
+            row = {
+                "part": part,
+                "number": number,
+                "start": start,
+                "n_ids": sum(counts),
+                "dictionary": dictionary.name,
+                "width": width,
+                "doc_ids": ids,
+                "without_id": nulls,
+                "offsets": lengths.tolist(),
+                "counts": counts,
+                "data": b"".join(frames_held),
+            }
+            return pa.RecordBatch.from_pylist([row], _SHARD_SCHEMA)
+
+        for batch in batches:
+            keys, known, texts = (batch.column(c).to_pylist() for c in ("doc_id", "_known", "text"))
             for a, b in _slices(texts):
                 for key, has_id, ids_written in zip(
                     keys[a:b], known[a:b], tokens.encode(texts[a:b]), strict=True
@@ -308,13 +316,13 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str | None = None) ->
     first = F.col("doc_id").asc_nulls_first()
     ordered = rows.repartitionByRange(int(parts), first, F.substring("text", 1, 64))
     ordered = ordered.sortWithinPartitions(first, "text")
-    with_whole_ids(ordered).mapInPandas(pack, SHARDS).write.option("compression", "none").parquet(
+    with_whole_ids(ordered).mapInArrow(pack, SHARDS).write.option("compression", "none").parquet(
         f"{folder}/shards"
     )
     return folder
 
 
-def _slices(texts: list[str], characters: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def _slices(texts: list[str], characters: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``characters`` in all, one text at least."""
     a, held = 0, 0
     for b, text in enumerate(texts, 1):
