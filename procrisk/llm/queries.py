@@ -54,9 +54,8 @@ _QUALITY_FENCES = ",\n".join(
         CASE WHEN l.n >= {quality.MIN_GROUP} THEN {fence('l')} END, {fence('a')}) END) AS fence_{k}"""
     for k, r in enumerate(quality.RULES)
     for fence in [
-        lambda t, r=r: f"{t}.middle + greatest({r.slack}, ({t}.middle - {t}.low) * {r.spreads})"
-        if r.upper
-        else f"{t}.middle - greatest({r.slack}, ({t}.high - {t}.middle) * {r.spreads})"
+        lambda t, r=r: f"{t}.middle {'+' if r.upper else '-'} greatest({r.slack}, "
+        f"greatest({t}.middle - {t}.low, {t}.high - {t}.middle) * {r.spreads})"
     ]
 )
 _QUALITY_BEYOND = " OR ".join(

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -353,6 +354,26 @@ def test_thresholds_follow_their_group(spark):
     assert kept == set(range(60)) | set(range(100, 160)) | {201}
 
 
+def test_the_sql_follows_groups_too(spark, tmp_path):
+    rng = random.Random(6)
+    words = lambda n, k: " ".join("".join(rng.choices("abcdefgh", k=k)) for _ in range(n))
+    rows = [(k, words(60, 5), "en", "a", 1) for k in range(60)]
+    rows += [(100 + k, words(30, 5) + " " + "#" * rng.randrange(5, 40), "en", "a", 1) for k in range(40)]
+    rows += [(200 + k, words(60, 5 + k % 4), "en", "b", 1) for k in range(50)]
+    rows += [(300 + k, words(25, 5) + " " + "#" * k, "en", "b", 1) for k in range(30)]
+    rows += [(400 + k, words(25, 12), "de", "a", 1) for k in range(5)] + [(500, None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    df.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op8_quality_rules(spark, str(tmp_path)).toPandas()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(queries.QUALITY_SQL).df()
+    order = lambda f: sorted(map(tuple, f[sorted(f.columns)].astype(object).values.tolist()))
+    assert order(got) == order(want)
+    fences = quality.thresholds(quality.measures(df)).select("fence_0").distinct()
+    assert fences.count() >= 2 and 0 < got["kept"].sum() < len(rows)
+
+
 def test_a_large_minority_of_a_source_moves_its_fences(spark):
     rng = random.Random(3)
     words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
