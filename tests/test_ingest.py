@@ -311,6 +311,36 @@ def test_profile_follows_first_item_and_stops(spark):
     assert found["$.f"]["sample"] == "1.5"
 
 
+ODD_DOCUMENTS = [
+    ['{"a": 1, "b": "x", "l": [3, 4], "o": {"p": null, "q": []}}', '{"a": 2.5, "l": ["z"], "o": 7}',
+     '{"a": "t", "l": [], "m": [[1, 2], [3]]}', '[{"k": 1}, {"k": 2, "n": [true]}]', '5', 'null', '"s"', "{}",
+     '{"l": [{"x": {"y": {"z": {"u": 1}}}, "w": [[{"v": 1}]]}, {"e": 1}]}', "broken", None],
+    ['{"a.b": 1, "a": {"b": 2}}', '{"x[0]": 3, "q\\"": 4}'],
+    ['{"l": [1, "x", {"y": 2}]}', '{"l": [null, 1]}'],
+    [f'{{"key{k}": {k}}}' for k in range(30)],
+    [],
+]
+
+
+@pytest.mark.parametrize("documents", ODD_DOCUMENTS)
+@pytest.mark.parametrize(("depth", "first"), [(0, 1_000), (1, 1_000), (3, 1_000), (3, 2)])
+def test_profile_by_schema_equals_that_by_nodes(spark, documents, depth, first, monkeypatch):
+    monkeypatch.setattr(profile, "FIRST_DOCUMENTS", first)
+    texts = spark.createDataFrame([(d,) for d in documents], "raw_text string").repartition(2)
+    want = sorted(map(str, profile.profile_by_nodes(texts, max_depth=depth).collect()))
+    got = profile.path_profile(texts, max_depth=depth, max_schemas=20)
+    assert sorted(map(str, got.collect())) == want
+
+
+def test_paths_of_a_schema():
+    schema = "OBJECT<a: DECIMAL(2,1), `b c`: ARRAY<OBJECT<d: STRING>>, e: ARRAY<VOID>, f: OBJECT<>>"
+    assert profile.paths_of(schema, 9) == [
+        ("$", 0, "OBJECT"), ("$.a", 1, "DECIMAL"), ("$.b c", 1, "ARRAY"), ("$.b c[0]", 2, "OBJECT"),
+        ("$.b c[0].d", 3, "STRING"), ("$.e", 1, "ARRAY"), ("$.e[0]", 2, "VOID"), ("$.f", 1, "OBJECT"),
+    ]
+    assert profile.paths_of(schema, 0) == [p for p in profile.paths_of(schema, 9) if p[1] <= 1]
+
+
 def test_join_keeps_rows_under_skew(spark):
     contracts = spark.createDataFrame([("hot", 10.0 + i) for i in range(40)] + [("x", 1.0), ("y", 2.0), (None, 3.0)], "lot_id string, contract_sum double")
     lots = spark.createDataFrame([("hot", "p"), ("x", None), ("z", "q"), (None, "p")], "lot_id string, plan_id string")
