@@ -10,7 +10,8 @@ anchor; they are named by their words and joined with the windows of all other t
 once, which meets every partner without pairs. A window whose words also start earlier is
 removed; touching and overlapping windows make the maximal repeats.
 
-Equal hashes of 64 bits are taken as equal anchors and windows.
+Equal hashes are taken as equal: 64 bits of anchors, which only propose, and 128 bits of
+windows, in two halves.
 
 Defined cases: a null text has no words; texts shorter than a window lose nothing; rows that
 share a doc_id are ordered by content hash, and equal rows are judged alike (neither is
@@ -33,6 +34,8 @@ from procrisk.session import stage
 
 WIDTH = 20
 SEED = 8
+#: An odd number that gives words a second name.
+_OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _places(rows: list[tuple], width: int, seed: int):
@@ -85,9 +88,10 @@ def later_windows(
         keep = marked[anchors]
         owner, start = owner[keep], start[keep]
         name = windows.grams(names, width)[start]
+        more = windows.grams(windows.mixed(names * _OTHER), width)[start]
         ids, keys = _identities(rows)
         yield from windows.ask_later(
-            batch, buckets, ids, keys, owner, start - first[owner], name, frequent
+            batch, buckets, ids, keys, owner, start - first[owner], name, more, frequent
         )
 
     rows = windows.as_bytes(docs).join(seeds, ["_id", "text_key"])

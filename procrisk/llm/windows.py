@@ -30,6 +30,8 @@ BATCH_BYTES = 4 << 20
 BUCKET_BYTES = 4 << 20
 #: Frequent names a task remembers, at most; more are merely asked about again.
 REMEMBERED = 500_000
+#: Columns of a remembered place: id, content hash, start and the other half of its name.
+PLACE = 4
 
 QUESTIONS = (
     "bucket int, batch string, known boolean, ids binary, keys binary, owner binary, "
@@ -147,11 +149,12 @@ def word_names(text: np.ndarray, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray,
 
 
 class Frequent:
-    """Names a task has asked about and saw repeat, with the place it asked for."""
+    """Names a task has asked about and saw repeat, with the place it asked for
+    (``PLACE`` columns)."""
 
     def __init__(self):
         self.name = np.zeros(0, dtype=np.uint64)
-        self.place = np.zeros((0, 3), dtype=np.int64)
+        self.place = np.zeros((0, PLACE), dtype=np.int64)
 
     def find(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of ``names`` are remembered, and where."""
@@ -255,41 +258,54 @@ def ask_repeated(
     twice = count >= 2
     known = (twice | asked)[which]
     open_at = first[~asked]
-    frequent.add(kinds[twice & ~asked], np.zeros((int((twice & ~asked).sum()), 3), np.int64))
+    frequent.add(kinds[twice & ~asked], np.zeros((int((twice & ~asked).sum()), PLACE), np.int64))
     yield from question_rows(
         batch, buckets, ids, keys, owner[open_at], start[open_at], name[open_at],
         owner[known], start[known],
     )
 
 
+def kinds_of(name: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of names of 128 bits in two halves: the first place of every kind, the kind of every
+    place, and how many places each kind has."""
+    order = np.lexsort((more, name))
+    head = np.ones(len(name), dtype=bool)
+    head[1:] = (name[order][1:] != name[order][:-1]) | (more[order][1:] != more[order][:-1])
+    which = np.empty(len(name), dtype=np.int64)
+    which[order] = np.cumsum(head) - 1
+    first = order[head]
+    return first, which, np.bincount(which, minlength=len(first))
+
+
 def ask_later(
-    batch: str, buckets: int, ids, keys, owner, start, name, frequent: Frequent
+    batch: str, buckets: int, ids, keys, owner, start, name, more, frequent: Frequent
 ) -> Iterator[dict]:
-    """Questions that tell of each place whether its name occurs at an earlier one: a smaller
-    doc_id, then content hash, then start. Places must come in that order."""
-    kinds, first, which, count = np.unique(
-        name, return_index=True, return_inverse=True, return_counts=True
-    )
+    """Questions that tell of each place whether its name (``name`` and ``more``, 64 bits each)
+    occurs at an earlier one: a smaller doc_id, then content hash, then start. Places must
+    come in that order."""
+    first, which, count = kinds_of(name, more)
     later = ~(
         (ids[owner] == ids[owner[first]][which])
         & (keys[owner] == keys[owner[first]][which])
         & (start == start[first][which])
     )
-    asked, at = frequent.find(kinds)
-    own = np.stack([ids[owner[first]], keys[owner[first]], start[first]], axis=1).astype(np.int64)
+    asked, at = frequent.find(name[first])
+    half = more[first].view(np.int64)
+    own = np.stack([ids[owner[first]], keys[owner[first]], start[first], half], axis=1).astype(np.int64)
     if asked.any():
         seen = frequent.place[at]
         before = seen[:, 2] < own[:, 2]
         for c in (1, 0):
             before = (seen[:, c] < own[:, c]) | ((seen[:, c] == own[:, c]) & before)
-        asked &= before
+        asked &= before & (seen[:, 3] == half)
     later |= asked[which]
     open_at = first[~asked]
     new = (count >= 2) & ~asked
-    frequent.add(kinds[new], own[new])
+    frequent.add(name[first][new], own[new])
+    halves = more[open_at].astype("<u8")
     yield from question_rows(
         batch, buckets, ids, keys, owner[open_at], start[open_at], name[open_at],
-        owner[later], start[later],
+        owner[later], start[later], body=lambda at: halves[at].tobytes(),
     )
 
 
@@ -322,7 +338,8 @@ def later(name, ids, keys, start) -> np.ndarray:
 
 
 def answer(questions: DataFrame, rule: Callable[..., np.ndarray]) -> DataFrame:
-    """Places for which ``rule(name, ids, keys, start)`` holds among all of their bucket."""
+    """Places for which ``rule(name, ids, keys, start)`` holds among all of their bucket. A
+    question's body, if it has one, is the second half of its names."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         out = [rows.loc[rows["known"], _ANSWERED]]
@@ -332,8 +349,11 @@ def answer(questions: DataFrame, rule: Callable[..., np.ndarray]) -> DataFrame:
             ids = [np.frombuffer(b, "<i8")[o] for b, o in zip(rows["ids"], owner, strict=True)]
             keys = [np.frombuffer(b, "<i8")[o] for b, o in zip(rows["keys"], owner, strict=True)]
             start = [np.frombuffer(b, "<i4") for b in rows["start"]]
-            name = [np.frombuffer(b, "<u8") for b in rows["name"]]
-            found = rule(*(np.concatenate(x) for x in (name, ids, keys, start)))
+            name = np.concatenate([np.frombuffer(b, "<u8") for b in rows["name"]])
+            more = np.frombuffer(b"".join(rows["body"]), "<u8")
+            if len(more):
+                name = kinds_of(name, more)[1].astype(np.uint64)
+            found = rule(name, *(np.concatenate(x) for x in (ids, keys, start)))
             edge = np.cumsum([0, *map(len, owner)])
             told = []
             for k, (batch, i, y) in enumerate(

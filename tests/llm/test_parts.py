@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from procrisk.llm import pieces, secrets, setsketch, suffix, tiling, tokenfiles, toxicity, windows
+from procrisk.llm import pieces, secrets, setsketch, substring, suffix, tiling, tokenfiles, toxicity, windows
 
 
 def test_last_minima_and_grams():
@@ -312,3 +312,39 @@ def test_scores_on_texts_not_seen():
     alone = toxicity.fit_model(texts[:5], np.zeros(5))
     assert toxicity.score_texts(alone, ["vile"])[0][0] < 0.01
     assert toxicity.score_texts(toxicity.fit_model([], np.zeros(0)), ["x"])[0][0] < 0.01
+
+
+# -- names of 128 bits ----------------------------------------------------------------
+
+
+def test_names_equal_in_one_half_are_told_apart(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    name, more = rng.integers(0, 3, 200).astype(np.uint64), rng.integers(0, 3, 200).astype(np.uint64)
+    first, which, count = windows.kinds_of(name, more)
+    pairs = list(zip(name.tolist(), more.tolist(), strict=True))
+    assert [pairs.index(p) for p in pairs] == first[which].tolist()
+    assert [pairs.count(p) for p in pairs] == count[which].tolist()
+    # All windows share the first half of their names; only the second tells them apart.
+    whole = windows.grams
+
+    def halved(names, width):
+        found = whole(names, width)
+        halved.calls += width == 20
+        return found * np.uint64(0) if width == 20 and halved.calls % 2 else found
+
+    halved.calls = 0
+    monkeypatch.setattr(windows, "grams", halved)
+    text = " ".join(f"a{k}" for k in range(60))
+    batch = [(1, 1, text.encode()), (2, 2, (text + " end").encode()), (3, 3, text[::-1].encode())]
+    names, _, begins, owner, start, _ = substring._places(batch, 20, 8)
+    half = windows.grams(names, 20)[start]
+    other = windows.grams(windows.mixed(names * substring._OTHER), 20)[start]
+    assert not half.any() and len(np.unique(other)) > 80
+    rows = list(windows.ask_later(
+        "b", 4, np.array([1, 2, 3]), np.array([1, 2, 3]), owner, start - begins[owner], half, other, windows.Frequent()
+    ))
+    asked = sum(len(r["name"]) // 8 for r in rows if not r["known"])
+    assert asked == len(np.unique(other)) == sum(len(r["body"]) // 8 for r in rows)
+    frame = spark.createDataFrame(rows, windows.QUESTIONS)
+    told = windows.answer(frame, windows.later).collect()
+    assert sum(len(r["start"]) // 4 for r in told) == len(owner) - len(np.unique(other))
