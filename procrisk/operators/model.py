@@ -148,8 +148,8 @@ def with_min_max(
     df: DataFrame, score: str = "anomaly_score", out: str = "anomaly_score_normalized"
 ) -> DataFrame:
     """Score scaled to 0..1; 0.5 when all scores are equal."""
-    low = df.agg(F.min(score)).scalar()
-    high = df.agg(F.max(score)).scalar()
+    ends = df.agg(F.struct(F.min(score).alias("low"), F.max(score).alias("high"))).scalar()
+    low, high = ends["low"], ends["high"]
     scaled = F.when(high > low, (F.col(score) - low) / (high - low)).otherwise(F.lit(0.5))
     return df.withColumn(out, scaled)
 
