@@ -443,6 +443,19 @@ def test_url_model_on_names_not_seen(spark):
     assert sum(right) / len(right) > 0.9
 
 
+def test_url_model_on_words_not_seen(spark):
+    held = {*labelled_urls.UNWANTED[::4], *labelled_urls.WANTED[::4]}
+    names = lambda url: [w for w in held if w in url.split("://")[1].split("/")[0]]
+    rows = labelled_urls.labelled_rows()
+    labelled = spark.createDataFrame([r for r in rows if not names(r[0])], "url string, label int")
+    test = [(k, *r) for k, r in enumerate(rows) if names(r[0])]
+    df = spark.createDataFrame(test, "page_id long, url string, label int")
+    found = {r["page_id"]: r["score"] >= 0.5 for r in urls.verdicts(df, rules=(), labelled=labelled).collect()}
+    for label, least in ((1, 0.7), (0, 0.9)):
+        right = [found[k] == bool(y) for k, _, y in test if y == label]
+        assert len(right) > 40 and sum(right) / len(right) > least
+
+
 # -- 10: secrets ----------------------------------------------------------------------
 
 BASE = [
