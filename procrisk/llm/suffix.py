@@ -181,16 +181,38 @@ def _last_minima(names: np.ndarray, width: int) -> np.ndarray:
     return (len(names) - 1 - (v[:n] & np.uint64((1 << 24) - 1)).astype(np.int64)).astype(np.int32)
 
 
+#: Windows whose anchors are searched at once.
+_SLICE = 1 << 15
+
+
+def _gram_names(text: np.ndarray, seed: int) -> np.ndarray:
+    """Names of every ``seed`` bytes, from differences of one running sum."""
+    if len(text) < seed:
+        return np.zeros(0, dtype=np.uint64)
+    power, inverse = windows.power_tables(len(text) + 1)
+    total = np.zeros(len(text) + 1, dtype=np.uint64)
+    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * power[: len(text)], out=total[1:])
+    return windows.mixed((total[seed:] - total[:-seed]) * inverse[: len(text) - seed + 1])
+
+
 def _anchors(raws: list[bytes], width: int, seed: int):
-    """32-gram names of joined texts, where each text begins, and for every window its text,
-    its place and that of its anchor."""
+    """Names of the ``seed`` bytes at every place of the joined texts, where each text begins,
+    and for every window its text, its place and that of its anchor. Names and anchors are
+    found in slices that stay in a core's cache."""
     text, begins = windows.joined(raws)
-    names = windows.grams(text.astype(np.uint64) + np.uint64(1), seed)
-    names = windows.mixed(names)
-    chosen = _last_minima(names, width - seed + 1)
-    owner = np.repeat(np.arange(len(raws)), np.diff(begins))[: len(chosen)]
-    window = np.flatnonzero(np.arange(len(chosen)) + width <= begins[owner + 1] - 1)
-    return names, begins, owner[window], window, chosen[window]
+    last = max(len(text) - width + 1, 0)
+    names = np.zeros(max(len(text) - seed + 1, 0), dtype=np.uint64)
+    chosen = np.zeros(last, dtype=np.int32)
+    for a in range(0, last, _SLICE):
+        b = min(a + _SLICE, last)
+        found = _gram_names(text[a : b + width - 1], seed)
+        names[a : a + len(found)] = found
+        chosen[a:b] = _last_minima(found, width - seed + 1) + np.int32(a)
+    counts = np.maximum(np.diff(begins) - width, 0)  # a space follows each text
+    owner = np.repeat(np.arange(len(raws), dtype=np.int32), counts)
+    skipped = (begins[:-1] - (np.cumsum(counts) - counts)).astype(np.int32)
+    window = np.repeat(skipped, counts) + np.arange(len(owner), dtype=np.int32)
+    return names, begins, owner, window, chosen[window]
 
 
 def _identities(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:

@@ -116,7 +116,7 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _powers: list[np.ndarray] = []
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse modulo 2^64."""
     if not _powers or len(_powers[0]) < n:
         base = 0x9E3779B97F4A7C15
@@ -137,7 +137,7 @@ def word_names(text: np.ndarray, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray,
     if len(text) and not gap[0]:
         edge = np.concatenate([[0], edge])
     begin, end = edge[::2], edge[1::2]
-    power, inverse = _power_tables(len(text) + 1)
+    power, inverse = power_tables(len(text) + 1)
     total = np.concatenate(
         [np.zeros(1, np.uint64), np.cumsum((text.astype(np.uint64) + np.uint64(1)) * power[: len(text)])]
     )
