@@ -70,6 +70,24 @@ def beside(side: DataFrame, width: int, blob: str | None = None) -> DataFrame:
     return F.broadcast(side) if held <= BROADCAST_BYTES else side
 
 
+def join_dealt(
+    rows: DataFrame, side: DataFrame, key: str, by: str, counted: DataFrame | None = None, hot_rows: int = 500
+) -> DataFrame:
+    """``rows`` joined with ``side`` (one row per key) on ``key``. The rows of a key that has
+    more than ``hot_rows`` are dealt by the hash of ``by`` to as many tasks, each with its copy
+    of the key's side. Keys are counted in ``counted``, a stored table, or in ``rows``."""
+    counts = (rows if counted is None else counted).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    fans = counts.where(F.col("n") > hot_rows).select(key, F.ceil(F.col("n") / hot_rows).cast("int").alias("_fan"))
+    fans = stage(fans, "hot-keys")
+    if fans.isEmpty():
+        return rows.join(side, key)
+    fans = beside(fans, 16)
+    fan = F.coalesce("_fan", F.lit(1))
+    dealt = rows.join(fans, key, "left").withColumn("_salt", F.pmod(F.xxhash64(by), fan).cast("int"))
+    copied = side.join(fans, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), fan - 1)))
+    return dealt.drop("_fan").join(copied.drop("_fan"), [key, "_salt"]).drop("_salt")
+
+
 def row_key(text: str = "text") -> Column:
     """Tells rows of one doc_id with different texts apart."""
     return F.xxhash64(text_of(text))

@@ -37,6 +37,7 @@ from pyspark.sql.types import MapType, VariantType
 from procrisk.llm import windows
 from procrisk.llm.common import (
     beside,
+    join_dealt,
     narrow,
     row_key,
     text_of,
@@ -219,11 +220,13 @@ def _shingles(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose sets overlap by the threshold."""
+    """Pairs (a, b) whose sets overlap by the threshold. A centre is in the pairs of all its
+    members: such an id's pairs are dealt by the other one."""
+    pairs = stage(pairs, "candidate-pairs")
     known = classes.select("id", "n", "registers")
     left = known.withColumnsRenamed({"id": "a", "n": "n_a", "registers": "r_a"})
     right = known.withColumnsRenamed({"id": "b", "n": "n_b", "registers": "r_b"})
-    sized = pairs.join(left, "a").join(right, "b")
+    sized = join_dealt(join_dealt(pairs, left, "a", "b"), right, "b", "a", pairs)
     sized = sized.where(
         F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
     )
@@ -232,10 +235,9 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFram
     likely = stage(likely.select("a", "b", "n_a", "n_b").distinct(), "likely-pairs")
     ids = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     sets = stage(_shingles(docs, stage(ids, "likely-ids")), "shingles")
-    # The frequent side of the pairs comes first: one set each, before it is repeated.
-    found = likely.join(sets.withColumnsRenamed({"id": "b", "shingles": "s_b"}), "b").join(
-        sets.withColumnsRenamed({"id": "a", "shingles": "s_a"}), "a"
-    )
+    s_a = sets.withColumnsRenamed({"id": "a", "shingles": "s_a"})
+    s_b = sets.withColumnsRenamed({"id": "b", "shingles": "s_b"})
+    found = join_dealt(join_dealt(likely, s_b, "b", "a"), s_a, "a", "b", likely)
     shared = F.size(F.array_intersect("s_a", "s_b"))
     union = F.size("s_a") + F.size("s_b") - shared
     return found.where(shared * 100 >= union * PERCENT).select("a", "b").distinct()

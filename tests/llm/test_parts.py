@@ -348,3 +348,15 @@ def test_names_equal_in_one_half_are_told_apart(spark, monkeypatch):
     frame = spark.createDataFrame(rows, windows.QUESTIONS)
     told = windows.answer(frame, windows.later).collect()
     assert sum(len(r["start"]) // 4 for r in told) == len(owner) - len(np.unique(other))
+
+
+def test_hot_keys_are_dealt_to_tasks(spark):
+    from procrisk.llm.common import join_dealt
+
+    rows = spark.createDataFrame([("hot", k) for k in range(40)] + [("x", 1), ("y", 2), (None, 3)], "k string, v int")
+    side = spark.createDataFrame([("hot", 1.0), ("x", 2.0), ("z", 3.0)], "k string, w double")
+    want = sorted(map(str, rows.join(side, "k").collect()))
+    for hot_rows in (1, 7, 100):
+        got = join_dealt(rows, side, "k", "v", hot_rows=hot_rows)
+        assert got.columns == ["k", "v", "w"] and sorted(map(str, got.collect())) == want
+    assert join_dealt(rows.limit(0), side, "k", "v").count() == 0
