@@ -284,30 +284,36 @@ def _contexts(
     return windows.by_batch(rows, work)
 
 
-def hot_anchors(questions: DataFrame, hot: int) -> np.ndarray:
-    """Names of anchors with more than ``hot`` contexts, at most one per ``hot`` of these."""
+def hot_anchors(questions: DataFrame, hot: int, buckets: int) -> DataFrame:
+    """Per bucket the names of its anchors with more than ``hot`` contexts, packed."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             names = np.frombuffer(b"".join(frame["name"]), "<u8")
             kinds, n = np.unique(names, return_counts=True)
-            yield pd.DataFrame({"name": kinds.view(np.int64), "n": n})
+            bucket = (kinds % np.uint64(buckets)).astype(np.int32)
+            yield pd.DataFrame({"bucket": bucket, "name": kinds.view(np.int64), "n": n})
 
     names = questions.where(~F.col("known")).select("name")
-    found = names.mapInPandas(count, "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
-    rows = found.where(F.col("n") > hot).select("name").collect()
-    return np.array([r["name"] for r in rows], dtype=np.int64).view(np.uint64)
-
-
-def spread(questions: DataFrame, names: np.ndarray, buckets: int, width: int) -> DataFrame:
-    """``questions`` with the contexts of the anchors ``names`` replaced by questions about
-    their windows: without lengths, the halves of a digest in name and body."""
+    found = names.mapInPandas(count, "bucket int, name long, n long")
+    found = found.groupBy("bucket", "name").agg(F.sum("n").alias("n")).where(F.col("n") > hot)
+    return found.groupBy("bucket").agg(F.collect_list("name").alias("hot"))
+
+
+def spread(questions: DataFrame, hot: DataFrame, buckets: int, width: int) -> DataFrame:
+    """``questions`` with the contexts of the anchors in ``hot`` (a stored table of some names
+    per bucket) replaced by questions about their windows: without lengths, the halves of a
+    digest in name and body. Buckets without such an anchor are left as they are."""
+    named = questions.join(beside(hot, 64), "bucket", "left")
+    touched = F.col("hot").isNotNull() & ~F.col("known")
+    rest = named.where(~touched).select(questions.columns)
     columns = [c.split()[0] for c in windows.QUESTIONS.split(", ")]
 
     def of_row(row) -> Iterator[dict]:
         name = np.frombuffer(row.name, "<u8")
-        hit = np.isin(name, names)
-        if row.known or not hit.any():
+        hit = np.isin(name, np.asarray(row.hot, dtype=np.int64).view(np.uint64))
+        row = row._replace(hot=None)
+        if not hit.any():
             yield row._asdict()
             return
         owner, start = np.frombuffer(row.owner, "<u4"), np.frombuffer(row.start, "<i4")
@@ -356,7 +362,8 @@ def spread(questions: DataFrame, names: np.ndarray, buckets: int, width: int) ->
         if held:
             yield pd.DataFrame(held, columns=columns)
 
-    return questions.mapInPandas(run, windows.QUESTIONS)
+    asked = named.where(touched).select(*questions.columns, "hot").mapInPandas(run, windows.QUESTIONS)
+    return rest.unionByName(asked)
 
 
 def _by_digest(rows: pd.DataFrame) -> list[tuple]:
@@ -470,9 +477,9 @@ def repeats(
     seeds = stage(repeated_anchors(docs, buckets, width, seed), "byte-seeds")
     seeds = beside(seeds, 24, "runs")
     asked = stage(_contexts(docs, seeds, buckets, width, seed), "byte-contexts")
-    names = hot_anchors(asked, hot)
-    if len(names):
-        asked = spread(asked, names, buckets, width)
+    frequent = stage(hot_anchors(asked, hot, buckets), "hot-anchors")
+    if not frequent.isEmpty():
+        asked = spread(asked, frequent, buckets, width)
     return stage(windows.per_text(_answer(asked, width)), "byte-repeats")
 
 

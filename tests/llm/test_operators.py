@@ -26,6 +26,8 @@ from procrisk.llm import (
     urls,
 )
 
+from procrisk.session import stage
+
 SMALL = "/root/testdata/sf0.001"
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -104,8 +106,8 @@ def test_contexts_of_a_hot_anchor_are_not_merged_in_one_task(spark):
         assert {k: tuple(r[n] for n in ("n_bytes", "n_removed", "n_spans", "kept_sha256")) for k, r in found.items()} == want
     seeds = suffix.repeated_anchors(df, 4, suffix.WIDTH, suffix.SEED)
     asked = suffix._contexts(df, seeds, 4, suffix.WIDTH, suffix.SEED).cache()
-    names = suffix.hot_anchors(asked, 8)
-    assert len(names)
+    names = stage(suffix.hot_anchors(asked, 8, 4), "hot")
+    assert not names.isEmpty()
 
     def largest(questions):
         held = [r["name"] for r in questions.where("NOT known AND length(length) > 0").collect()]
