@@ -294,11 +294,12 @@ FROM said GROUP BY conv_id"""
 
 def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """Groups and links between two tokenisers' ids of every text."""
-    return alignment.alignments(
+    found = alignment.alignments(
         _table(spark, folder, "documents"),
         vocabulary("byte_bpe_50k.json"),
         vocabulary("piece_bpe_32k.model"),
     )
+    return found.drop("n_shared")
 
 
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
