@@ -16,6 +16,8 @@ that misses its rank is seen by the counts, and that column's bracket is opened
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,10 +56,11 @@ def group_quantile(
 
     if hot is None:
         return direct(points)
-    many = _narrow(_of(points, hot, keys), hot, keys, q, hot_rows).select(
+    groups = hot.groups
+    many = _narrow(_of(points, groups, keys), groups, keys, q, hot_rows, hot.held).select(
         *keys, F.col(_ROWS).alias("n"), F.col(_VALUE).alias(name)
     )
-    return direct(_not_of(points, hot, keys)).unionByName(many)
+    return direct(_not_of(points, groups, keys)).unionByName(many)
 
 
 def group_median_mad(
@@ -89,18 +92,18 @@ def group_median_mad(
 
     if hot is None:
         return direct(points)
-    large = _of(points, hot, keys)
+    groups, held = hot.groups, hot.held
+    large = _of(points, groups, keys)
     centre = stage(
-        _narrow(large, hot, keys, 0.5, hot_rows).select(*keys, F.col(_VALUE).alias("median")),
+        _narrow(large, groups, keys, 0.5, hot_rows, held).select(*keys, F.col(_VALUE).alias("median")),
         "hot-medians",
     )
-    off = large.join(_sized(centre), keys).withColumn(
-        _VALUE, F.abs(F.col(_VALUE) - F.col("median"))
-    )
+    centre = F.broadcast(centre) if held <= BROADCAST_BYTES else centre
+    off = large.join(centre, keys).withColumn(_VALUE, F.abs(F.col(_VALUE) - F.col("median")))
     off = off.groupBy(*keys, _VALUE).agg(F.sum(_COUNT).alias(_COUNT))
-    spread = _narrow(off, hot, keys, 0.5, hot_rows).withColumnsRenamed({_ROWS: "n", _VALUE: "mad"})
-    many = spread.join(_sized(centre), keys).select(*keys, "n", "median", "mad")
-    return direct(_not_of(points, hot, keys)).unionByName(many)
+    spread = _narrow(off, groups, keys, 0.5, hot_rows, held).withColumnsRenamed({_ROWS: "n", _VALUE: "mad"})
+    many = spread.join(centre, keys).select(*keys, "n", "median", "mad")
+    return direct(_not_of(points, groups, keys)).unionByName(many)
 
 
 def column_quantiles(
@@ -140,7 +143,8 @@ def column_quantiles(
         [(c, rows[c], ranks[c][0] - below[c][0], ranks[c][1] - below[c][0], ranks[c][2]) for c in rows],
         f"feature string, n long, {_LOW} long, {_HIGH} long, __share double",
     )
-    found = _pick(inside, wanted.select("feature", _LOW, _HIGH), ["feature"], hot_rows)
+    largest = max(values for *_, values in below.values())
+    found = _pick(inside, wanted.select("feature", _LOW, _HIGH), ["feature"], hot_rows, largest, True)
     return found.join(F.broadcast(wanted), "feature").select(
         "feature", "n", _between(F.col("__share")).alias(name)
     )
@@ -198,16 +202,23 @@ def _points(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return rows.groupBy(*keys, _VALUE).agg(F.count("*").alias(_COUNT))
 
 
-def _hot(points: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
+@dataclass(frozen=True)
+class _Hot:
+    """Large groups with their rows, a stored table marked for broadcast while it is small, and
+    the bytes of a table with ``SLICES`` numbers for each."""
+
+    groups: DataFrame
+    held: int
+
+
+def _hot(points: DataFrame, keys: list[str], hot_rows: int) -> _Hot | None:
     """All groups of more than ``hot_rows`` values, with their rows, stored; None without any."""
     sizes = points.groupBy(*keys).agg(F.sum(_COUNT).alias(_ROWS), F.count("*").alias("__values"))
     found = stage(sizes.where(F.col("__values") > hot_rows).drop("__values"), "large-groups")
-    return None if found.isEmpty() else _sized(found)
-
-
-def _sized(groups: DataFrame) -> DataFrame:
-    """A stored table, marked for broadcast while it is small."""
-    return F.broadcast(groups) if size_of(groups) <= BROADCAST_BYTES else groups
+    held = size_of(found) * SLICES  # as large as the widest table of a row per group
+    if not held:
+        return None
+    return _Hot(F.broadcast(found) if held <= BROADCAST_BYTES else found, held)
 
 
 def _of(points: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
@@ -218,11 +229,14 @@ def _not_of(points: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     return points.join(hot.select(*keys), keys, "left_anti")
 
 
-def _narrow(points: DataFrame, hot: DataFrame, keys: list[str], q: float, hot_rows: int) -> DataFrame:
+def _narrow(
+    points: DataFrame, hot: DataFrame, keys: list[str], q: float, hot_rows: int, groups_bytes: int
+) -> DataFrame:
     """``keys``, rows and ``q`` quantile of each group in ``hot``, from its counted values."""
     place = (F.col(_ROWS) - 1) * F.lit(q)
     ranked = hot.select(*keys, F.floor(place).alias(_LOW), F.ceil(place).alias(_HIGH))
-    found = _pick(points, ranked, keys, hot_rows)
+    small = groups_bytes <= BROADCAST_BYTES
+    found = _pick(points, ranked, keys, hot_rows, hot_rows + 3, small)
     return found.join(hot, keys).select(*keys, _ROWS, _between(place - F.floor(place)).alias(_VALUE))
 
 
@@ -232,33 +246,28 @@ def _between(share: Column) -> Column:
     return F.when(low == high, low).otherwise((1 - share) * low + share * high)
 
 
-def _pick(points: DataFrame, ranked: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+def _pick(
+    points: DataFrame, ranked: DataFrame, keys: list[str], hot_rows: int, largest: int, small: bool
+) -> DataFrame:
     """``keys`` and the values at the two ranks of each group in ``ranked``, from points that
-    name each value of a group once."""
+    name each value of a group once. ``largest`` is the most values of a group, ``small``
+    whether a table of some numbers per group may be broadcast."""
     part = points.select(*keys, _VALUE, _COUNT)
-    cuts, most = F.array(*[F.lit(k / SLICES) for k in range(1, SLICES)]), 0
-    while True:
-        sketched = part.groupBy(*keys).agg(
-            F.count("*").alias("__values"), F.percentile_approx(_VALUE, cuts, 1_000).alias("__cuts")
-        )
-        wide = stage(sketched.where(F.col("__values") > max(hot_rows, 2)), "value-slices")
-        groups = wide.count()
-        if not groups:
-            break
-
-        most = max(most, groups)  # all groups are wide in the first round
+    cuts = F.array(*[F.lit(k / SLICES) for k in range(1, SLICES)])
 
-        def by_group(table: DataFrame, small: bool = most * SLICES * 16 <= BROADCAST_BYTES) -> DataFrame:
-            return F.broadcast(table) if small else table
+    def by_group(table: DataFrame) -> DataFrame:
+        return F.broadcast(table) if small else table
 
+    while largest > max(hot_rows, 2):
+        sketched = part.groupBy(*keys).agg(F.percentile_approx(_VALUE, cuts, 1_000).alias("__cuts"))
         below = F.filter("__cuts", lambda cut: cut < F.col(_VALUE))
-        sliced = part.join(by_group(wide), keys, "left").withColumn(
-            _SLICE, F.when(F.col("__cuts").isNull(), 0).otherwise(F.size(below))
-        )
+        sliced = part.join(by_group(stage(sketched, "value-slices")), keys)
+        sliced = sliced.withColumn(_SLICE, F.size(below))
         counts = (
-            sliced.groupBy(*keys, _SLICE).agg(F.sum(_COUNT).alias(_COUNT))
+            sliced.groupBy(*keys, _SLICE)
+            .agg(F.sum(_COUNT).alias(_COUNT), F.count("*").alias("__values"))
             .withColumn(_UPTO, running_total(_COUNT, keys, [_SLICE]))
-            .join(ranked, keys)
+            .join(by_group(ranked), keys)
         )
         before = F.col(_UPTO) - F.col(_COUNT)
         kept = counts.where((F.col(_HIGH) >= before) & (F.col(_LOW) < F.col(_UPTO)))
@@ -266,11 +275,10 @@ def _pick(points: DataFrame, ranked: DataFrame, keys: list[str], hot_rows: int)
             kept.groupBy(*keys).agg(
                 F.min(_SLICE).alias("__from"), F.max(_SLICE).alias("__to"),
                 F.min(F.col(_LOW)).alias(_LOW), F.min(F.col(_HIGH)).alias(_HIGH),
-                F.min(before).alias("__before"),
+                F.min(before).alias("__before"), F.sum("__values").alias("__values"),
             ),
             "kept-slices",
         )
-        # Groups that are small already stay whole: all of their rows are in slice 0.
         inner = sliced.join(by_group(kept.select(*keys, "__from", "__to")), keys).where(
             F.col(_SLICE).between(F.col("__from"), F.col("__to"))
         )
@@ -280,7 +288,8 @@ def _pick(points: DataFrame, ranked: DataFrame, keys: list[str], hot_rows: int)
             (F.col(_LOW) - F.col("__before")).alias(_LOW),
             (F.col(_HIGH) - F.col("__before")).alias(_HIGH),
         )
-    placed = part.withColumn(_UPTO, running_total(_COUNT, keys, [_VALUE])).join(ranked, keys)
+        largest = kept.agg(F.max("__values")).first()[0] or 0
+    placed = part.withColumn(_UPTO, running_total(_COUNT, keys, [_VALUE])).join(by_group(ranked), keys)
     return placed.groupBy(*keys).agg(
         F.min(F.when(F.col(_UPTO) > F.col(_LOW), F.col(_VALUE))).alias(_FIRST),
         F.min(F.when(F.col(_UPTO) > F.col(_HIGH), F.col(_VALUE))).alias(_LAST),
@@ -289,9 +298,9 @@ def _pick(points: DataFrame, ranked: DataFrame, keys: list[str], hot_rows: int)
 
 def _bracketed(
     clean: DataFrame, brackets: dict[str, tuple[float, float]]
-) -> tuple[DataFrame, dict[str, tuple[int, int]]]:
-    """The counted values inside each column's bracket, and the rows below and inside it, in
-    one scan."""
+) -> tuple[DataFrame, dict[str, tuple[int, int, int]]]:
+    """The counted values inside each column's bracket, and per column the rows below and
+    inside it and the different values inside, in one scan."""
     cells = [
         F.struct(
             F.lit(c).alias("feature"),
@@ -309,6 +318,7 @@ def _bracketed(
     sums = counted.groupBy("feature").agg(
         F.coalesce(F.sum(F.when(F.col("below"), F.col(_COUNT))), F.lit(0)).alias("b"),
         F.coalesce(F.sum(F.when(~F.col("below"), F.col(_COUNT))), F.lit(0)).alias("i"),
+        F.count_if(~F.col("below")).alias("v"),
     )
-    found = {r["feature"]: (r["b"], r["i"]) for r in sums.collect()}  # one row per column
-    return counted.where(~F.col("below")).drop("below"), {c: found.get(c, (0, 0)) for c in brackets}
+    found = {r["feature"]: (r["b"], r["i"], r["v"]) for r in sums.collect()}  # one row per column
+    return counted.where(~F.col("below")).drop("below"), {c: found.get(c, (0, 0, 0)) for c in brackets}
