@@ -13,15 +13,34 @@ SOURCE = "source_file"
 TEXT = "raw_text"
 
 
-def read_texts(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+#: Columns of bundled documents: the path of the file that each was, and its whole text.
+BUNDLE = f"{SOURCE} string, {TEXT} string"
+
+
+def write_bundles(texts: DataFrame, path: str) -> str:
+    """Appends whole documents, ``source_file`` and ``raw_text``, to the bundles in ``path``.
+
+    A bundle is a Parquet file of many documents: a file of its own for each costs a listing
+    entry, an opening and a commit however short it is.
+    """
+    texts.select(SOURCE, TEXT).write.mode("append").option("compression", "zstd").parquet(path)
+    return path
+
+
+def read_texts(
+    spark: SparkSession, path: str, whole_files: bool = True, bundled: bool = False
+) -> DataFrame:
     """``source_file`` and ``raw_text`` of every JSON document under ``path``.
 
-    One document per file, as the pretty-printed objects are stored, or with
-    ``whole_files=False`` one per line. An absent folder has no documents.
+    One document per file, as the pretty-printed objects are stored, with
+    ``whole_files=False`` one per line, or with ``bundled`` as ``write_bundles`` stores them.
+    An absent folder has no documents.
     """
     if not exists(spark, path):
-        return spark.createDataFrame([], f"{SOURCE} string, {TEXT} string")
+        return spark.createDataFrame([], BUNDLE)
     reader = spark.read.option("recursiveFileLookup", True)
+    if bundled:
+        return reader.schema(BUNDLE).parquet(path)
     texts = reader.text(path, wholetext=whole_files)
     return texts.select(F.col("_metadata.file_path").alias(SOURCE), F.col("value").alias(TEXT))
 
@@ -35,10 +54,14 @@ def parse(texts: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_objects(
-    spark: SparkSession, path: str, schema: T.StructType, whole_files: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    whole_files: bool = True,
+    bundled: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Objects under ``path``, and the documents that could not be read."""
-    parsed = parse(read_texts(spark, path, whole_files), schema)
+    parsed = parse(read_texts(spark, path, whole_files, bundled), schema)
     return records_of(parsed), rejects_of(parsed)
 
 
@@ -57,6 +80,7 @@ def read_pages(
     path: str,
     record: T.DataType | None = None,
     number: str = r"([0-9]+)\.json$",
+    bundled: bool = False,
 ) -> DataFrame:
     """List pages, unreadable ones left out; ``page`` gives their order.
 
@@ -64,7 +88,7 @@ def read_pages(
     ``totalPages``, ``totalElements`` and ``records``, the length of the content.
     """
     schema = page_schema(record)
-    parsed = parse(read_texts(spark, path), schema)
+    parsed = parse(read_texts(spark, path, bundled=bundled), schema)
     return (
         parsed.where(F.col("records").isNotNull())
         .select(page_number(number).alias("page"), F.inline("records"))
