@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from procrisk.sources.documents import SOURCE, TEXT, parse, records_of, rejects_of
+from procrisk.sources.documents import BUNDLE, SOURCE, TEXT, parse, records_of, rejects_of
 
 BATCH = "batch"
 
@@ -25,6 +25,7 @@ def land_new_objects(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     max_files: int = 100_000,
     rejects: str | None = None,
+    bundled: bool = False,
 ) -> DataFrame:
     """Appends the objects of files not yet seen to ``sink`` and returns the table.
 
@@ -33,6 +34,9 @@ def land_new_objects(
     (``<sink>_rejects``), both in a folder ``batch=...`` named by the batch. A batch that is
     repeated after a failure overwrites its own folders, so each file is taken once, however
     far the first attempt came. ``transform`` maps the records first.
+
+    The checkpoint lists every file, and every batch plans its own: a source of very many
+    short objects should arrive ``bundled``, as ``documents.write_bundles`` stores them.
     """
     rejects = rejects or f"{sink}_rejects"
     transform = transform or (lambda records: records)
@@ -48,12 +52,15 @@ def land_new_objects(
         finally:
             parsed.unpersist()
 
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", True)
+    if bundled:
+        arrived = reader.schema(BUNDLE).parquet(source)
+    else:
+        arrived = reader.text(source, wholetext=True).select(
+            F.col("_metadata.file_path").alias(SOURCE), F.col("value").alias(TEXT)
+        )
     query = (
-        spark.readStream.option("maxFilesPerTrigger", max_files)
-        .option("recursiveFileLookup", True)
-        .text(source, wholetext=True)
-        .select(F.col("_metadata.file_path").alias(SOURCE), F.col("value").alias(TEXT))
-        .writeStream.foreachBatch(land)
+        arrived.writeStream.foreachBatch(land)
         .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()

@@ -7,6 +7,7 @@ import pytest
 from procrisk.plans import catalog
 from procrisk.schemas import raw_schema
 from procrisk.sources import documents
+from procrisk.streaming.landing import land_new_objects
 
 
 def bundles(spark, rows, path):
@@ -15,7 +16,8 @@ def bundles(spark, rows, path):
 
 @pytest.mark.parametrize(
     ("name", "key", "table"),
-    [("page_scan", "page_id", "pages"), ("object_scan", "s_suppkey", "supplier")],
+    [("page_scan", "page_id", "pages"), ("object_scan", "s_suppkey", "supplier"),
+     ("incremental_landing", "s_suppkey", "supplier")],
 )
 def test_files_do_not_grow_with_the_documents(spark, tmp_path, monkeypatch, name, key, table):
     if table == "pages":
@@ -45,3 +47,15 @@ def test_pages_and_rejects_of_bundles(spark, tmp_path):
     assert [tuple(r) for r in bad.collect()] == [("in/3.json", "broken")]
     good, bad = documents.read_objects(spark, str(tmp_path / "no"), raw_schema("Plan"), bundled=True)
     assert good.count() == bad.count() == 0
+
+
+def test_landing_takes_each_bundle_once(spark, tmp_path):
+    where = [str(tmp_path / p) for p in ("in", "out", "progress")]
+    land = lambda: land_new_objects(spark, where[0], raw_schema("OrderDetail"), *where[1:], bundled=True)
+    bundles(spark, [("1.json", json.dumps({"externalId": "7"}, indent=2)), ("2.json", "broken")], where[0])
+    assert [r["externalId"] for r in land().collect()] == ["7"]
+    bundles(spark, [("3.json", '[{"externalId": "8"}, {"externalId": "9"}]')], where[0])
+    assert sorted(r["externalId"] for r in land().collect()) == ["7", "8", "9"]
+    assert sorted(r["externalId"] for r in land().collect()) == ["7", "8", "9"]
+    lost = spark.read.parquet(f"{where[1]}_rejects").collect()
+    assert [r["source_file"] for r in lost] == ["2.json"]
