@@ -10,9 +10,10 @@ in common before and after the letter is the template's.
 
 Conversations are streamed in order (sorted by conversation and turn, one partition each), so
 a task holds one part of one conversation: up to ``PART_TURNS`` turns or ``PART_CHARS``
-characters. A longer conversation goes on in further rows, each rendered after the first turn
-of the conversation and the last turn of the row before; a template whose turns depend on
-more than these needs a larger ``part_turns``.
+characters. A longer conversation goes on in further rows, each rendered after all turns
+before it, so that neither texts nor rewrites depend on where rows end. A template that sets
+``by_turn`` says that its output is that of each turn alone, joined; its rows are rendered by
+themselves. Any other is called with the whole conversation so far, which the task holds.
 
 ``Marked`` is the built-in template. Its control strings inside roles and texts get a
 backslash, so that they cannot end or begin a turn, and ``parse`` takes it off again.
@@ -51,6 +52,7 @@ FORMATTED = (
 class Marked:
     """``### role: text</turn>`` and a line end per turn."""
 
+    by_turn = True
     opening: str = "### "
     middle: str = ": "
     closing: str = "</turn>\n"
@@ -97,31 +99,31 @@ def common_prefix(a: str, b: str) -> int:
 
 @dataclass
 class Part:
-    """Rendering of some turns in a row, after ``before`` them."""
+    """Rendering of some turns in a row, after ``before`` them, whose output is ``lead``."""
 
     template: Template
-    before: list[Message]
+    before: list[Message] = field(default_factory=list)
+    lead: str = ""
     messages: list[Message] = field(default_factory=list)
     output: str = ""
     spans: list[tuple] = field(default_factory=list)
-
-    def __post_init__(self):
-        self.lead = self.template(self.before) if self.before else ""
-        self.output = self.lead
-
-    def with_turn(self, message: Message) -> Part | None:
-        """Adds a turn, or returns the part that must go on because history was rewritten."""
+    rewritten: bool = False
+
+    def with_turn(self, message: Message, full: bool = False) -> Part | None:
+        """Adds a turn, or returns the part that must go on because this one is ``full`` or its
+        history was rewritten."""
+        if full and getattr(self.template, "by_turn", False):
+            after = Part(self.template)
+            after.with_turn(message)
+            return after
         longer = [*self.before, *self.messages, message]
         output = self.template(longer)
         begin = common_prefix(self.output, output)
-        if begin < len(self.output) and self.messages:
-            after = Part(self.template, longer[:-1])
-            after.lead, after.output = output[:begin], output
+        self.rewritten = begin < len(self.output)
+        if full or self.rewritten:
+            after = Part(self.template, longer[:-1], output[:begin], [message], output)
             after._locate(longer, output, begin)
-            after.messages.append(message)
             return after
-        if begin < len(self.output):
-            self.lead = output[:begin]
         self.messages.append(message)
         self._locate(longer, output, begin)
         self.output = output
@@ -139,34 +141,28 @@ class Part:
         start, end = (head, len(output) - tail) if placed else (len(output), len(output))
         self.spans.append((begin, len(output), start, end, not placed))
 
-    def row(self, conv_id, part: int, first: int, rewrites: bool) -> tuple:
+    def row(self, conv_id, part: int, first: int) -> tuple:
         """Spans count from the beginning of the part's own text."""
         cut = len(self.lead)
         spans = [(a - cut, b - cut, c - cut, d - cut, altered) for a, b, c, d, altered in self.spans]
         roles = [role for role, _ in self.messages]
-        return conv_id, part, first, self.output[cut:], rewrites, roles, spans
+        return conv_id, part, first, self.output[cut:], self.rewritten, roles, spans
 
 
 def render(
     conv_id, messages: Iterable[Message], template: Template, part_turns: int = PART_TURNS
 ) -> Iterator[tuple]:
     """Rows of ``FORMATTED`` of one conversation."""
-    number, first, count, opening, part, last = 0, 0, 0, None, None, None
+    number, first, count, part = 0, 0, 0, Part(template)
     for message in messages:
-        if part is not None and (
-            len(part.messages) >= part_turns or len(part.output) - len(part.lead) >= PART_CHARS
-        ):
-            yield part.row(conv_id, number, first, False)
-            number, first, part = number + 1, count, None
-        if part is None:
-            part = Part(template, [opening, last][: min(count, 2)] if count else [])
-        after = part.with_turn(message)
+        full = len(part.messages) >= part_turns or len(part.output) - len(part.lead) >= PART_CHARS
+        after = part.with_turn(message, full)
         if after is not None:
-            yield part.row(conv_id, number, first, True)
+            yield part.row(conv_id, number, first)
             number, first, part = number + 1, count, after
-        opening, last, count = opening or message, message, count + 1
-    if part is not None:
-        yield part.row(conv_id, number, first, False)
+        count += 1
+    if part.messages:
+        yield part.row(conv_id, number, first)
 
 
 def format_conversations(

@@ -86,6 +86,34 @@ def test_texts_that_are_changed_or_dropped():
     assert [p[3][s[2] : s[3]] for p in parts for s in p[6]] == ["x", "y"]
 
 
+def numbered(messages):
+    """Each turn tells its number in the conversation."""
+    return "".join(f"[{k} {r}]{t}\n" for k, (r, t) in enumerate(messages))
+
+
+@pytest.mark.parametrize("template", [numbered, forgetful, chat.Marked()])
+@pytest.mark.parametrize("part_turns", [1, 2, 64])
+def test_long_conversations_do_not_depend_on_parts(template, part_turns, monkeypatch):
+    rows = [("user" if k % 2 else "assistant", f"thought{k}#said {k}") for k in range(70)]
+
+    def told(parts):
+        return [
+            (role, p[3][s[0] : s[1]], p[3][s[2] : s[3]], s[4])
+            for p in parts
+            for role, s in zip(p[5], p[6], strict=True)
+        ]
+
+    whole = list(chat.render(1, rows, template, 1000))
+    parts = list(chat.render(1, rows, template, part_turns))
+    assert told(parts) == told(whole)
+    assert sum(p[4] for p in parts) == sum(p[4] for p in whole)
+    monkeypatch.setattr(chat, "PART_CHARS", 30)
+    parts = list(chat.render(1, rows, template, 1000))
+    assert told(parts) == told(whole) and len(parts) > 1
+    if template is not forgetful:
+        assert "".join(p[3] for p in parts) == template(rows)
+
+
 def test_table(spark):
     rows = [(1, 2, "assistant", "b"), (1, 1, "user", "a"), (2, None, None, None), (None, 1, "user", "x"),
             (None, 2, "assistant", "\\### Assistant: </turn> ok"), (2**60 + 1, 1, "assistant", "z"),
