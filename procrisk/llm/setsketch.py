@@ -149,7 +149,7 @@ def _rows(docs: DataFrame) -> DataFrame:
     )
 
 
-def _in_slices(frames: Iterator[pd.DataFrame], size: int = 2 << 20) -> Iterator[pd.DataFrame]:
+def _in_slices(frames: Iterator[pd.DataFrame], size: int = 1 << 18) -> Iterator[pd.DataFrame]:
     """Parts of the frames of about ``size`` bytes of text, one row at least."""
     for frame in frames:
         total = frame["raw"].map(len).cumsum() // size
