@@ -100,7 +100,7 @@ def group_median_mad(
     )
     centre = F.broadcast(centre) if held <= BROADCAST_BYTES else centre
     off = large.join(centre, keys).withColumn(_VALUE, F.abs(F.col(_VALUE) - F.col("median")))
-    off = off.groupBy(*keys, _VALUE).agg(F.sum(_COUNT).alias(_COUNT))
+    # Two values may be equally far: the first round of narrowing, not all rows, adds them up.
     spread = _narrow(off, groups, keys, 0.5, hot_rows, held).withColumnsRenamed({_ROWS: "n", _VALUE: "mad"})
     many = spread.join(centre, keys).select(*keys, "n", "median", "mad")
     return direct(_not_of(points, groups, keys)).unionByName(many)
@@ -249,9 +249,9 @@ def _between(share: Column) -> Column:
 def _pick(
     points: DataFrame, ranked: DataFrame, keys: list[str], hot_rows: int, largest: int, small: bool
 ) -> DataFrame:
-    """``keys`` and the values at the two ranks of each group in ``ranked``, from points that
-    name each value of a group once. ``largest`` is the most values of a group, ``small``
-    whether a table of some numbers per group may be broadcast."""
+    """``keys`` and the values at the two ranks of each group in ``ranked``, from counted
+    points, which may name a value of a group again. ``largest`` is the most points of a group,
+    ``small`` whether a table of some numbers per group may be broadcast."""
     part = points.select(*keys, _VALUE, _COUNT)
     cuts = F.array(*[F.lit(k / SLICES) for k in range(1, SLICES)])
 
@@ -282,7 +282,7 @@ def _pick(
         inner = sliced.join(by_group(kept.select(*keys, "__from", "__to")), keys).where(
             F.col(_SLICE).between(F.col("__from"), F.col("__to"))
         )
-        part = stage(inner.select(*keys, _VALUE, _COUNT), "kept-values")
+        part = stage(inner.groupBy(*keys, _VALUE).agg(F.sum(_COUNT).alias(_COUNT)), "kept-values")
         ranked = kept.select(
             *keys,
             (F.col(_LOW) - F.col("__before")).alias(_LOW),

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from procrisk.operators import quantiles
 from procrisk.operators.quantiles import column_quantiles, group_median_mad, group_quantile
@@ -143,3 +144,30 @@ def test_sketched_median_and_mad(spark):
         assert got[g]["n"] == len(v)
         for x, of in ((got[g]["median"], v), (got[g]["mad"], np.abs(v - got[g]["median"]))):
             assert (of < x).mean() - error <= 0.5 <= (of <= x).mean() + error
+
+
+def test_distances_of_large_groups_are_not_shuffled(spark, monkeypatch):
+    """Only the values of the kept slices are grouped; equal and equally far values count."""
+    rows = spark.range(0, 40_000, 1, 4).select(
+        (F.col("id") % 2).alias("g"), F.when(F.col("id") < 300, 1e20).otherwise(F.col("id") / 7).alias("v")
+    )
+    stored, real = {}, quantiles.stage
+
+    def watched(df, name):
+        out = real(df, name)
+        stored.setdefault(name, []).append((df._jdf.queryExecution().optimizedPlan().toString(), out.count()))
+        return out
+
+    monkeypatch.setattr(quantiles, "stage", watched)
+    got = {r["g"]: (r["n"], r["median"], r["mad"]) for r in quantiles.group_median_mad(rows, ["g"], "v", hot_rows=500).collect()}
+    for g in (0, 1):
+        v = np.array([1e20 if k < 300 else k / 7 for k in range(g, 40_000, 2)])
+        median = np.median(v)
+        assert got[g] == pytest.approx((len(v), median, np.median(np.abs(v - median))))
+    # The cuts of the distances come from one aggregation by group, not one by value before.
+    assert all(plan.count("Aggregate [") == 1 for plan, _ in stored["value-slices"])
+    # Values that all become one distance end the narrowing.
+    far = spark.range(3_000).select(F.lit(1).alias("g"), F.when(F.col("id") < 1_400, F.col("id")).otherwise(1e20 + 1e6 * F.col("id")).alias("v"))
+    (row,) = quantiles.group_median_mad(far, ["g"], "v", hot_rows=200).collect()
+    v = np.array([k if k < 1_400 else 1e20 + 1e6 * k for k in range(3_000)])
+    assert row["median"] == np.median(v) and row["mad"] == np.median(np.abs(v - np.median(v)))
